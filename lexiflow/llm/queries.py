@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup
-from .common import table
+from . import exact_dedup, language_id, minhash
+from .common import fold, table
+
+
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.link_near(table(spark, sf_dir, "documents"), width=3, num=85, den=100)
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +26,17 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.identify(docs, learn=fold(F.col("doc_id"), 4) != 2)
+    return out.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash": op3_minhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op10_language_id": op10_language_id,
 }
 SQL: dict[str, str] = {
     "op6_exact_dedup": OP6_SQL,

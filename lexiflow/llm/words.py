@@ -28,6 +28,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+NOT_ALNUM = np.ones(256, dtype=bool)  # ASCII but letters and digits
+NOT_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 PLAIN = mix((np.arange(256, dtype=U) + U(1)) * U(0x9E3779B97F4A7C15))
 FOLDED = PLAIN.copy()
 FOLDED[65:91] = PLAIN[97:123]
@@ -99,10 +101,11 @@ def _hashes(part: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.n
     return mix(h + (ends - starts).astype(U) * U(0xD1B54A32D192ED03))
 
 
-def words(column: pa.Array, lower: bool = True, extra_cuts: bytes = b"") -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(column: pa.Array, lower: bool = True, extra_cuts: bytes = b"", between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(buffer, starts, ends, hashes, counts per text) of all words of a column of texts, in order.
 
     extra_cuts: a word also ends before one of these bytes where an ASCII letter or digit stands before it.
+    between: the bytes that stand between words; white space is always among them.
     """
     buf, offs = text_buffer(column)
     values = FOLDED if lower else PLAIN
@@ -113,7 +116,7 @@ def words(column: pa.Array, lower: bool = True, extra_cuts: bytes = b"") -> tupl
     all_s, all_e, all_h = [], [], []
     for a, b in _cuts(buf, offs):
         part = buf[a:b]
-        inside = ~IS_SPACE[part]
+        inside = ~between[part]
         fresh = np.empty(len(part), dtype=bool)
         fresh[0] = True
         np.logical_not(inside[:-1], out=fresh[1:])
