@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,3 +60,9 @@ def fold(doc_id: Column, modulus: int) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def mapped(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow(run, schema), with this package on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import mapped, written
 from .words import NOT_ALNUM, ngram_hashes, slices, words
 
 SIEVE = 1 << 20
@@ -147,7 +147,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["k", "c"])
 
-        seen = source.select("text").mapInArrow(count, "k long, c long").groupBy("k").agg(F.sum("c")).collect()
+        seen = mapped(source.select("text"), count, "k long, c long").groupBy("k").agg(F.sum("c")).collect()
         counts = np.zeros(len(every.value.hashes), dtype=np.int64)
         for k, c in seen:
             counts[k] = c
@@ -181,7 +181,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         from pyspark.sql.pandas.types import to_arrow_type
 
         part_type = to_arrow_type(schema["item"].dataType)
-        return source.mapInArrow(search, schema)
+        return mapped(source, search, schema)
 
     for row in benchmark.select(F.col(item_col), F.coalesce(F.col(item_text).cast("string"), F.lit(""))).toLocalIterator():
         w = words(pa.array([row[1]]), between=NOT_ALNUM)[3]

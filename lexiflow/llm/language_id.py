@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import mapped
 from .words import slices, text_buffer
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -196,7 +197,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", block_
                 langs, score = score_block(*text_buffer(part.column(text_col)), m)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)
 
 
 def identify(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None, **fitting) -> DataFrame:

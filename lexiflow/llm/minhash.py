@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import mapped, written
 from .components import components
 from .words import mix, ngram_hashes, slices, words
 
@@ -72,7 +72,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, k: int) ->
     from pyspark.sql import types as T
 
     schema = T.StructType([T.StructField("id", id_type), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.LongType()))])
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return mapped(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), run, schema)
 
 
 def _fits(num: int, den: int):
@@ -134,7 +134,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, wid
             for part in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in shingle_sets(part.column("text"), width)], pa.binary())], names=["id", "s"])
 
-    full = written(texts.mapInArrow(sets, T.StructType([T.StructField("id", id_type), T.StructField("s", T.BinaryType())])), "lexiflow-sets")
+    full = written(mapped(texts, sets, T.StructType([T.StructField("id", id_type), T.StructField("s", T.BinaryType())])), "lexiflow-sets")
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,7 +147,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, wid
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     held = pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("s").alias("y")), "b").where("length(x) > 0 and length(y) > 0")
-    return written(held.select("a", "b", "x", "y").mapInArrow(hold, T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])).distinct(), "lexiflow-links")
+    return written(mapped(held.select("a", "b", "x", "y"), hold, T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])).distinct(), "lexiflow-links")
 
 
 def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100, k: int = 48, listed: int = 16, long_list: int = 32) -> DataFrame:

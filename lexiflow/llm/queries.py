@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, minhash
+from . import decontaminate, exact_dedup, language_id, minhash
 from .common import fold, table
 
 
@@ -27,6 +27,11 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "similarity", "end_word")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = language_id.identify(docs, learn=fold(F.col("doc_id"), 4) != 2)
@@ -36,6 +41,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash": op3_minhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_decontamination": op8_decontamination,
     "op10_language_id": op10_language_id,
 }
 SQL: dict[str, str] = {
