@@ -2,9 +2,10 @@
 
 1. Every text becomes a set of word shingles, each a 64-bit hash. Texts with the same set form a class, held by its least id.
 2. A class's sketch is the k smallest hashes of its set. Inverted lists of the `listed` smallest retained values tell which
-   classes overlap. A list with over `long_list` classes is split by the run of three retained values that starts there and
-   by size, then by a run of five; in what is still as long, all members are held against the list's leaders (the members with the
-   least hashes), which are the same in all lists of one group of copies. So work is linear in a group's size.
+   classes overlap. Classes in a list of over `long_list` are listed by their runs of three retained values, and if that list is
+   long, of four. In what is still as long, all members are held against six leaders, which are the same in all lists of
+   one group of copies; later, the members that this left outside their list's largest component are held against all others. So
+   work is linear in the size of a group of copies, and no list is cut.
 3. The union sketch (the k smallest values of both) estimates the similarity; pairs four standard errors below the threshold go.
 4. The full sets decide. First each class's pair with its least partner is confirmed; pairs whose ends that has connected
    need no second look, as only components are asked for; the others are confirmed too.
@@ -14,7 +15,8 @@ Defined cases: null or empty texts, and those without words, have empty sets and
 whole sequence is one; a row with a null id is linked with nothing and has no component; rows of one id count as one document;
 an empty table gives an empty result.
 
-Misses: a pair at the threshold shares no two of 16 listed values with a probability below 1e-9, fails the estimate with about 3e-5.
+Misses: a pair at a threshold of 0.8 shares none of 16 listed values with a probability below 1e-9, no run of four in long lists with
+4e-5, and fails the estimate with 3e-5.
 """
 
 from __future__ import annotations
@@ -93,26 +95,25 @@ def _counted(rows: DataFrame, name: str) -> DataFrame:
     return written(rows.join(counts, "key"), name)
 
 
-def candidates(reps: DataFrame, num: int, den: int, k: int, listed: int, long_list: int, leaders: int = 3) -> DataFrame:
-    """Pairs (a, b) of classes that may be similar enough, by inverted lists and the union sketch. reps: rep, n, sketch."""
-    own = F.slice("sketch", 1, listed)
-    runs = F.transform(own, lambda v, i: F.struct(v.alias("key"), F.xxhash64(F.slice("sketch", i + 1, 3)).alias("run3"), F.xxhash64(F.slice("sketch", i + 1, 5), F.lit(5)).alias("run5")))
-    rows = reps.select("rep", "n", F.explode(runs).alias("x")).select("rep", "n", "x.*")
-    lists = _counted(rows, "lexiflow-lists")
+def candidates(reps: DataFrame, num: int, den: int, listed: int, long_list: int, leaders: int = 6) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of classes that share a list, and the lists (key, rep, n) of which only the leaders' pairs are among them. reps: rep, n, sketch."""
+    lists = _counted(reps.select("rep", "n", F.explode(F.slice("sketch", 1, listed)).alias("key")), "lexiflow-lists")
     found = _within(lists.where(F.col("c") <= long_list), num, den)
-    bucket = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)))
-    sized = lambda df, run: df.select("rep", "n", run, "run5", F.explode(F.array(bucket, bucket + 1)).alias("size")).withColumn("key", F.xxhash64(run, "size"))
-    longer = _counted(sized(lists.where(F.col("c") > long_list), "run3").select("rep", "n", "run5", "key").distinct(), "lexiflow-lists")
-    found = found.unionByName(_within(longer.where(F.col("c") <= long_list), num, den))
-    longest = _counted(longer.where(F.col("c") > long_list).select("rep", "n", F.xxhash64("key", "run5").alias("key")).distinct(), "lexiflow-lists")
-    found = found.unionByName(_within(longest.where(F.col("c") <= long_list), num, den))
-    hot = longest.where(F.col("c") > long_list).select("key", "rep", "n")
-    for r in range(leaders):  # the r-th hash order's least member of each list
+    for run in (3, 4):  # what stands in a long list is listed by its runs of retained values instead
+        again = reps.join(written(lists.where(F.col("c") > long_list).select("rep").distinct(), "lexiflow-long"), "rep", "left_semi")
+        runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("sketch") - (run - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("sketch", i, run)))
+        lists = _counted(again.select("rep", "n", F.explode(F.array_distinct(runs)).alias("key")), "lexiflow-lists")
+        found = found.unionByName(_within(lists.where(F.col("c") <= long_list), num, den))
+    hot = lists.where(F.col("c") > long_list).select("key", "rep", "n")
+    for r in range(leaders):  # the least member of each list in a hash order, the same order for all lists
         first = written(hot.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(r)).alias("h"), "rep", "n")).alias("l")), "lexiflow-leaders")
-        star = hot.join(first, "key").select(F.least("rep", "l.rep").alias("a"), F.greatest("rep", "l.rep").alias("b"), F.when(F.col("rep") < F.col("l.rep"), F.col("n")).otherwise(F.col("l.n")).alias("na"), F.when(F.col("rep") < F.col("l.rep"), F.col("l.n")).otherwise(F.col("n")).alias("nb"))
-        found = found.unionByName(star.where("a != b").where(_fits(num, den)))
-    pairs = written(found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("na").alias("na"), F.min("nb").alias("nb")), "lexiflow-pairs").select("a", "b")
-    # union sketch
+        star = hot.join(first, "key").select("rep", F.col("n").alias("na"), F.col("l.rep").alias("other"), F.col("l.n").alias("nb")).where("rep != other").where(_fits(num, den))
+        found = found.unionByName(star.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"), "na", "nb"))
+    return written(found.select("a", "b").distinct(), "lexiflow-pairs"), hot
+
+
+def estimated(pairs: DataFrame, reps: DataFrame, num: int, den: int, k: int) -> DataFrame:
+    """Those of pairs (a, b) whose union sketch allows enough similarity."""
     sk = reps.select("rep", "sketch")
     both = pairs.join(sk.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a").join(sk.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b")
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
@@ -121,6 +122,18 @@ def candidates(reps: DataFrame, num: int, den: int, k: int, listed: int, long_li
     return written(both.where(share >= t - 4 * sqrt(t * (1 - t) / k)).select("a", "b").distinct(), "lexiflow-candidates")
 
 
+def remainder(hot: DataFrame, near: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs within hot lists that the leaders left in different components: each member outside its list's largest component with all others."""
+    placed = hot.join(near.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    placed = written(placed, "lexiflow-placed")
+    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+    main = written(sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key", F.col("m.component").alias("main")), "lexiflow-main")
+    open_ = placed.join(main, "key")
+    left = written(open_.where("component != main").select("key", F.col("rep").alias("r"), F.col("n").alias("na"), F.col("component").alias("ca")), "lexiflow-left")
+    pairs = left.join(open_.select("key", "rep", F.col("n").alias("nb"), F.col("component").alias("cb")), "key").where("ca != cb").where(_fits(num, den))
+    return written(pairs.select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b")).distinct(), "lexiflow-pairs")
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
     """Those of pairs (a, b) whose full sets are similar enough."""
     from pyspark.sql import types as T
@@ -156,17 +169,29 @@ def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     named = rows.where("digest is not null and id is not null")
     classes = written(named.groupBy("digest").agg(F.min("id").alias("rep")), "lexiflow-classes")
     reps = written(named.join(classes, (named.digest == classes.digest) & (named.id == classes.rep), "left_semi").select(F.col("id").alias("rep"), "n", "sketch"), "lexiflow-reps")
-    pairs = candidates(reps, num, den, k, listed, long_list)
+    found, hot = candidates(reps, num, den, listed, long_list)
+    pairs = estimated(found, reps, num, den, k)
     first = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "lexiflow-first")
     links = confirmed(docs, first, id_col, text_col, width, num, den)
     near = written(components(links), "lexiflow-near")
-    # pairs not confirmed yet whose ends aren't connected yet
-    side = lambda c: near.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
-    rest = pairs.join(first, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
-    rest = written(rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "lexiflow-rest")
-    more = confirmed(docs, rest, id_col, text_col, width, num, den)
-    if not more.isEmpty():
-        near = written(components(links.unionByName(more)), "lexiflow-near")
+
+    def apart(rest: DataFrame) -> DataFrame:
+        """Pairs whose ends aren't connected yet."""
+        side = lambda c: near.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+        return rest.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+    def with_links(rest: DataFrame) -> None:
+        nonlocal links, near
+        if rest.isEmpty():
+            return
+        more = confirmed(docs, rest, id_col, text_col, width, num, den)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            near = written(components(links), "lexiflow-near")
+
+    with_links(written(apart(pairs.join(first, ["a", "b"], "left_anti")), "lexiflow-rest"))
+    if not hot.isEmpty():
+        with_links(estimated(remainder(hot, near, num, den), reps, num, den, k))
     place = written(classes.join(near, classes.rep == near.node, "left").select("digest", F.coalesce("component", "rep").alias("component")), "lexiflow-place")
     out = rows.select("id", "n", "digest").join(place, "digest", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))

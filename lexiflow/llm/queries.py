@@ -7,15 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language_id, minhash
+from . import decontaminate, exact_dedup, kneser_ney, language_id, minhash, packing, substring
 from .common import fold, table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = minhash.link_near(table(spark, sf_dir, "documents"), width=3, num=85, den=100)
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold_ = fold(F.col("doc_id"), 10)
+    out = kneser_ney.learn_and_score(table(spark, sf_dir, "documents"), fold_ != 0).withColumnRenamed("id", "doc_id")
+    return out.select("doc_id", (fold_ == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.link_copies(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
@@ -32,6 +42,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "similarity", "end_word")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.kept_digest(substring.remove_repeats(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = language_id.identify(docs, learn=fold(F.col("doc_id"), 4) != 2)
@@ -39,9 +53,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op3_minhash": op3_minhash,
+    "op4_kneser_ney": op4_kneser_ney,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
 }
 SQL: dict[str, str] = {
