@@ -1,56 +1,24 @@
-"""What the operators of this subpackage share on the Spark side: tables, shared storage, checks of size."""
+"""What the operators of this subpackage share on the Spark side."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
+from ..storage import remove, scratch, shared_dir, written
+
+__all__ = ["drop_written", "fold", "mapped", "remove", "scratch", "shared_dir", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; where that is unset (tests), one of our own."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if known.isDefined():
-            place = known.get()
-        else:
-            place = "file://" + tempfile.mkdtemp(prefix="lexiflow-shared-")
-            spark.sparkContext.setCheckpointDir(place)
-    return place.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, and outlives any executor."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def drop_written(df: DataFrame) -> None:
     """Removes the files of a table from written(), once nothing reads it any more."""
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "lexiflow" in folder or shared_dir(df.sparkSession).split("://")[-1] in folder:
-            remove(df.sparkSession, folder)
+        remove(df.sparkSession, folder)
 
 
 def fold(doc_id: Column, modulus: int) -> Column:
@@ -58,10 +26,6 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def mapped(df: DataFrame, run, schema) -> DataFrame:
     """df.mapInArrow(run, schema), with this package on the executors."""
     ship(df.sparkSession)
