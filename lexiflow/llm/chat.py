@@ -48,7 +48,7 @@ def argument_errors(tool: Column, arguments: Column, tools: dict[str, dict[str,
             there = F.array_contains(names, arg)
             wrong = F.when(there & (F.coalesce(got, F.lit("VOID")) != want.lstrip("?")), f"type:{arg}")
             found.append(wrong if want.startswith("?") else F.when(~there, f"missing:{arg}").otherwise(wrong))
-        extra = F.transform(F.filter(names, lambda k, s=schema: ~k.isin(list(s))), lambda k: F.concat(F.lit("extra:"), k))
+        extra = F.transform(F.array_except(names, F.array(*map(F.lit, schema))), lambda k: F.concat(F.lit("extra:"), k))
         out = F.when(tool == name, F.concat(F.array_compact(F.array(*found)), extra)).otherwise(out)
     return F.when(~F.coalesce(kind.startswith("OBJECT"), F.lit(False)), F.array(F.lit("json"))).otherwise(F.array_sort(out))
 
