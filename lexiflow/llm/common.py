@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
 from ..storage import remove, scratch, shared_dir, written
 
-__all__ = ["drop_written", "fold", "mapped", "remove", "scratch", "shared_dir", "table", "written"]
+__all__ = ["drop_written", "fold", "mapped", "release", "remove", "scratch", "shared_dir", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +23,12 @@ def drop_written(df: DataFrame) -> None:
         remove(df.sparkSession, folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of jobs that are over: it does so once their plans are collected as garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo modulus; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -30,10 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship
-from .common import mapped, written
+from .common import drop_written, mapped, release, written
 from .fm_index import FMIndex
 from .words import mix, ngram_hashes, slices, valid_starts, words
 
+TOKEN = 5  # bytes of a word's hash that segments carry; digests have all of them
 P1, P2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 
 
@@ -107,7 +108,7 @@ def _search(window: int):
 
     def run(group: pa.Table) -> pa.Table:
         blobs = group.column("tokens").to_pylist()
-        n = np.array([len(b) // 8 for b in blobs], dtype=np.int64)
+        n = np.array([len(b) // TOKEN for b in blobs], dtype=np.int64)
         ids, th, begin = (group.column(c) for c in ("id", "th", "start"))
         no_id = np.array(ids.is_null())
         id_, th_, start = np.array(ids.fill_null(0)), np.array(th), np.array(begin)
@@ -115,9 +116,10 @@ def _search(window: int):
         rank = np.empty(len(order), dtype=np.int64)
         differ = np.concatenate([[0], ((np.diff(th_[order]) != 0) | (np.diff(id_[order]) != 0) | (np.diff(no_id[order].astype(int)) != 0)).astype(np.int64)])
         rank[order] = np.cumsum(differ)
-        flat = np.frombuffer(b"".join(blobs), dtype=np.uint64)
+        flat = np.zeros((int(n.sum()), 8), dtype=np.uint8)
+        flat[:, :TOKEN] = np.frombuffer(b"".join(blobs), dtype=np.uint8).reshape(-1, TOKEN)
         blobs.clear()
-        vocabulary, dense = np.unique(flat, return_inverse=True)
+        vocabulary, dense = np.unique(flat.view(np.uint64).reshape(-1), return_inverse=True)
         del flat
         # segments one after another, a 0 after each
         text = np.zeros(int(n.sum()) + len(n), dtype=np.int64)
@@ -170,9 +172,13 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     twice = written(spread.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", (F.col("n") > hot).alias("many")), "lexiflow-repeated")
     mine = spread.join(twice, "anchor").groupBy("id", "th").agg(F.collect_set(F.when(~F.col("many"), F.col("anchor"))).alias("few"), F.collect_set(F.when(F.col("many"), F.col("anchor"))).alias("many"))
     mine = written(mine, "lexiflow-texts")
+    drop_written(spread)
+    drop_written(twice)
+    release(docs.sparkSession)
     again = source.join(mine.withColumnsRenamed({"id": "_id", "th": "_th"}), F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("id", "th", "text", "few", "many")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # whose words this task has sent; at most a segment's digest for each row that it writes
         for batch in batches:
             for part in slices(batch, "text", most_bytes=1 << 20):
                 h, counts, starts, least, _, own, begin, end = _read(part, window, anchor, longest)
@@ -193,29 +199,43 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                 route = np.concatenate([least[begin[few]], mix(digest[len(few) :, 0])]).view(np.int64)
                 doc = np.concatenate([own[begin[few]], own[alone]])
                 first = np.cumsum(counts) - counts
-                raw = h.tobytes()
-                tokens = pa.array([raw[8 * x : 8 * y] for x, y in zip(a.tolist(), b.tolist(), strict=True)], pa.binary())
+                raw = h.view(np.uint8).reshape(-1, 8)[:, :TOKEN].tobytes()
+                keys = [x.tobytes() for x in digest]
+                sent = []
+                for key, x, y in zip(keys, a.tolist(), b.tolist(), strict=True):
+                    sent.append(None if key in seen else raw[TOKEN * x : TOKEN * y])
+                    seen.add(key)
+                tokens = pa.array(sent, pa.binary())
                 take = pa.array(doc)
-                yield pa.RecordBatch.from_arrays([part.column("id").take(take), part.column("th").take(take), pa.array(a - first[doc]), pa.array(b - a), pa.array(route), pa.array([x.tobytes() for x in digest], pa.binary()), tokens], names=["id", "th", "start", "n", "route", "digest", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column("id").take(take), part.column("th").take(take), pa.array(a - first[doc]), pa.array(b - a), pa.array(route), pa.array(keys, pa.binary()), tokens], names=["id", "th", "start", "n", "route", "digest", "tokens"])
 
     # stands of all segments, with their words
     stands = written(mapped(again, cut, "id long, th long, start long, n long, route long, digest binary, tokens binary"), "lexiflow-stands")
+    drop_written(mine)
+    release(docs.sparkSession)
     where = F.struct(F.col("id").isNotNull().alias("has"), "id", "th", "start")
-    firsts = written(stands.groupBy("digest", "route", "n").agg(F.min(where).alias("f"), F.first("tokens").alias("tokens")).select("digest", "route", "n", "f.id", "f.th", "f.start", "tokens"), "lexiflow-segments")
+    firsts = written(stands.groupBy("digest", "route", "n").agg(F.min(where).alias("f"), F.max("tokens").alias("tokens")).select("digest", "route", "n", "f.id", "f.th", "f.start", "tokens"), "lexiflow-segments")
+    release(docs.sparkSession)
     later = stands.select("id", "th", "start", "n", "digest").join(firsts.select("digest", F.col("id").alias("fid"), F.col("th").alias("fth"), F.col("start").alias("fstart")), "digest")
     later = later.where(~(F.col("id").eqNullSafe(F.col("fid")) & (F.col("th") == F.col("fth")) & (F.col("start") == F.col("fstart"))))
     total = firsts.agg(F.sum("n")).first()[0] or 0
     shards = max(32, -(-total // shard_words))
     found = firsts.select("id", "th", "start", "tokens", F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).groupBy("shard").applyInArrow(_search(window), "id long, th long, a long, b long")
-    return later.select("id", "th", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b")).unionByName(found)
+    out = written(later.select("id", "th", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b")).unionByName(found), "lexiflow-repeats")
+    drop_written(stands)
+    drop_written(firsts)
+    release(docs.sparkSession)
+    return out
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """(id, n_words, n_removed, kept_text) of each row: its words that no repeated window covers, joined by one space."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     id_type = docs.schema[id_col].dataType
-    runs = repeats(docs, id_col, text_col, **how).groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set(F.struct("a", "b")).alias("runs"))
-    runs = written(runs, "lexiflow-runs")
+    found = repeats(docs, id_col, text_col, **how)
+    runs = written(found.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set(F.struct("a", "b")).alias("runs")), "lexiflow-runs")
+    drop_written(found)
+    release(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     joined = source.join(runs, F.col("id").cast("long").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select("id", "text", "runs")
 
