@@ -2,9 +2,9 @@
 
 1. Every text becomes a set of word shingles, each a 64-bit hash. Texts with the same set form a class, held by its least id.
 2. A class's sketch is the k smallest hashes of its set. Inverted lists of the `listed` smallest retained values tell which
-   classes overlap. Classes in a list of over `long_list` are listed by their runs of three retained values, and if that list is
-   long, of four. In what is still as long, all members are held against six leaders, which are the same in all lists of
-   one group of copies; later, the members that this left outside their list's largest component are held against all others. So
+   classes overlap. Classes of which so many values are in lists of over `long_list` that a partner may share no others are
+   listed by their runs of three retained values and their size, and if that list is long, of four. In what is still as long,
+   all members are held against four leaders, which are the same in all lists of one group of copies; later, the members that this left outside their list's largest component are held against all others. So
    work is linear in the size of a group of copies, and no list is cut.
 3. The union sketch (the k smallest values of both) estimates the similarity; pairs four standard errors below the threshold go.
 4. The full sets decide. First each class's pair with its least partner is confirmed; pairs whose ends that has connected
@@ -95,20 +95,32 @@ def _counted(rows: DataFrame, name: str) -> DataFrame:
     return written(rows.join(counts, "key"), name)
 
 
-def candidates(reps: DataFrame, num: int, den: int, listed: int, long_list: int, leaders: int = 6) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of classes that share a list, and the lists (key, rep, n) of which only the leaders' pairs are among them. reps: rep, n, sketch."""
+def candidates(reps: DataFrame, num: int, den: int, listed: int, long_list: int, leaders: int = 4) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs (a, b) of classes that share a list, and the lists (key, rep, n) of which only the leaders' pairs are among them, if there are any. reps: rep, n, sketch."""
     lists = _counted(reps.select("rep", "n", F.explode(F.slice("sketch", 1, listed)).alias("key")), "lexiflow-lists")
-    found = _within(lists.where(F.col("c") <= long_list), num, den)
-    for run in (3, 4):  # what stands in a long list is listed by its runs of retained values instead
-        again = reps.join(written(lists.where(F.col("c") > long_list).select("rep").distinct(), "lexiflow-long"), "rep", "left_semi")
-        runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("sketch") - (run - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("sketch", i, run)))
-        lists = _counted(again.select("rep", "n", F.explode(F.array_distinct(runs)).alias("key")), "lexiflow-lists")
+    found, hot = _within(lists.where(F.col("c") <= long_list), num, den), None
+    # similar sets share so many listed values but for four standard errors: with fewer of its values in long lists, a class has a short list in common with each partner
+    t, m = num / den, F.least(F.size("sketch"), F.lit(listed))
+    need = F.greatest(F.floor(m * t - 4.2 * F.sqrt(m * t * (1 - t))), F.lit(1))
+    crowded = lists.where(F.col("c") > long_list).groupBy("rep").agg(F.count(F.lit(1)).alias("h"))
+    again = written(reps.join(written(crowded, "lexiflow-long"), "rep").where(F.col("h") >= need).select("rep", "n", "sketch"), "lexiflow-crowded")
+    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / t)))
+    for run in (3, 4):  # these classes are listed by runs of retained values and by size
+        if again.isEmpty():
+            break
+        runs = F.expr(f"transform(sequence(1, greatest(size(sketch) - {run - 1}, 1)), i -> xxhash64(slice(sketch, i, {run})))")
+        keys = again.select("rep", "n", F.explode(F.array_distinct(runs)).alias("r")).select("rep", "n", F.explode(F.array(F.xxhash64("r", size), F.xxhash64("r", size + 1))).alias("key"))
+        lists = _counted(keys, "lexiflow-lists")
         found = found.unionByName(_within(lists.where(F.col("c") <= long_list), num, den))
-    hot = lists.where(F.col("c") > long_list).select("key", "rep", "n")
-    for r in range(leaders):  # the least member of each list in a hash order, the same order for all lists
-        first = written(hot.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(r)).alias("h"), "rep", "n")).alias("l")), "lexiflow-leaders")
-        star = hot.join(first, "key").select("rep", F.col("n").alias("na"), F.col("l.rep").alias("other"), F.col("l.n").alias("nb")).where("rep != other").where(_fits(num, den))
-        found = found.unionByName(star.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"), "na", "nb"))
+        hot = lists.where(F.col("c") > long_list).select("key", "rep", "n")
+        again = written(again.join(written(hot.select("rep").distinct(), "lexiflow-long"), "rep", "left_semi"), "lexiflow-crowded")
+    if hot is None or again.isEmpty():
+        return written(found.select("a", "b").distinct(), "lexiflow-pairs"), None
+    # the least members of each list in hash orders that are the same for all lists
+    least = hot.groupBy("key").agg(F.array(*[F.min(F.struct(F.xxhash64("rep", F.lit(r)).alias("h"), "rep", "n")) for r in range(leaders)]).alias("l"))
+    first = written(least.select("key", F.explode(F.array_distinct(F.transform("l", lambda x: F.struct(x["rep"].alias("other"), x["n"].alias("nb"))))).alias("l")).select("key", "l.*"), "lexiflow-leaders")
+    star = hot.withColumnRenamed("n", "na").join(first, "key").where("rep != other").where(_fits(num, den))
+    found = found.unionByName(star.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"), "na", "nb"))
     return written(found.select("a", "b").distinct(), "lexiflow-pairs"), hot
 
 
@@ -134,20 +146,23 @@ def remainder(hot: DataFrame, near: DataFrame, num: int, den: int) -> DataFrame:
     return written(pairs.select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b")).distinct(), "lexiflow-pairs")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
-    """Those of pairs (a, b) whose full sets are similar enough."""
+def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(id, s): the whole sets of these ids. The texts are shuffled once, whatever the number of ids, so that the plan is the same at every size."""
     from pyspark.sql import types as T
 
     id_type = docs.schema[id_col].dataType
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(ids.hint("merge"), "id", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in shingle_sets(part.column("text"), width)], pa.binary())], names=["id", "s"])
 
-    full = written(mapped(texts, sets, T.StructType([T.StructField("id", id_type), T.StructField("s", T.BinaryType())])), "lexiflow-sets")
+    return written(mapped(texts, sets, T.StructType([T.StructField("id", id_type), T.StructField("s", T.BinaryType())])).where("length(s) > 0"), "lexiflow-sets")
+
+
+def confirmed(full: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of pairs (a, b) whose full sets are similar enough."""
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,8 +174,8 @@ def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, wid
                 ok.append(same * den >= num * (len(x) + len(y) - same))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    held = pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("s").alias("y")), "b").where("length(x) > 0 and length(y) > 0")
-    return written(mapped(held.select("a", "b", "x", "y"), hold, T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])).distinct(), "lexiflow-links")
+    held = pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("x")).hint("merge"), "a").join(full.select(F.col("id").alias("b"), F.col("s").alias("y")).hint("merge"), "b")
+    return written(mapped(held.select("a", "b", "x", "y"), hold, pairs.schema).distinct(), "lexiflow-links")
 
 
 def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100, k: int = 48, listed: int = 16, long_list: int = 32) -> DataFrame:
@@ -172,7 +187,10 @@ def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     found, hot = candidates(reps, num, den, listed, long_list)
     pairs = estimated(found, reps, num, den, k)
     first = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "lexiflow-first")
-    links = confirmed(docs, first, id_col, text_col, width, num, den)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    ids = written((ids.unionByName(hot.select(F.col("rep").alias("id"))) if hot is not None else ids).distinct(), "lexiflow-ids")
+    full = full_sets(docs, ids, id_col, text_col, width)
+    links = confirmed(full, first, num, den)
     near = written(components(links), "lexiflow-near")
 
     def apart(rest: DataFrame) -> DataFrame:
@@ -184,13 +202,13 @@ def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
         nonlocal links, near
         if rest.isEmpty():
             return
-        more = confirmed(docs, rest, id_col, text_col, width, num, den)
+        more = confirmed(full, rest, num, den)
         if not more.isEmpty():
             links = links.unionByName(more)
             near = written(components(links), "lexiflow-near")
 
     with_links(written(apart(pairs.join(first, ["a", "b"], "left_anti")), "lexiflow-rest"))
-    if not hot.isEmpty():
+    if hot is not None:
         with_links(estimated(remainder(hot, near, num, den), reps, num, den, k))
     place = written(classes.join(near, classes.rep == near.node, "left").select("digest", F.coalesce("component", "rep").alias("component")), "lexiflow-place")
     out = rows.select("id", "n", "digest").join(place, "digest", "left")
@@ -202,4 +220,4 @@ def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """docs with one document of each group of near-duplicates: that with the least id. All columns stay."""
     gone = link_near(docs, id_col, text_col, **how).where("not kept").select(F.col("id").alias("_gone"))
     gone = written(gone.distinct(), "lexiflow-gone")
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return docs.join(gone.hint("merge"), docs[id_col] == gone["_gone"], "left_anti")  # one plan at every size
