@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, written
+from .common import release, scratch, written
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -93,13 +93,16 @@ def link_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # full bytes on hits: every row of a group against the row that stays
     hits = groups.where("group_size > 1").select("digest", "keep_id", "locator")
     whole = docs.select(F.col(id_col).alias("id"), text.alias("text"), digest(text).alias("digest"))
-    members = whole.join(hits.select("digest"), "digest", "left_semi")
-    stay = whole.join(hits, (whole.digest == hits.digest) & whole.id.eqNullSafe(hits.keep_id), "left_semi").groupBy("digest").agg(F.min("text").alias("stay"))
-    differ = members.join(stay, "digest").where("text != stay").select("digest")
+    members = written(whole.join(hits.select("digest"), "digest", "left_semi"), "lexiflow-hits")
+    release(spark)
+    stay = members.join(hits, (members.digest == hits.digest) & members.id.eqNullSafe(hits.keep_id), "left_semi").groupBy("digest").agg(F.min("text").alias("stay"))
+    differ = members.join(written(stay, "lexiflow-stay"), "digest").where("text != stay").select("digest")
+    same = differ.isEmpty()
+    release(spark)
     result = rows.join(groups, "digest")
-    if not differ.isEmpty():
+    if not same:
         bad = written(differ.distinct(), "lexiflow-collisions")
-        again = whole.join(bad, "digest", "left_semi")
+        again = members.join(bad, "digest", "left_semi")
         split = again.groupBy("digest", "text").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         mended = again.join(split, ["digest", "text"]).select("digest", "id", F.lit("").alias("locator"), "keep_id", "group_size")
         result = result.join(bad, "digest", "left_anti").select("digest", "id", groups.locator, "keep_id", "group_size").unionByName(mended)
