@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship
-from .common import mapped, scratch, written
+from .common import mapped, release, scratch, written
 from .words import mix, slices, words
 
 END, BEGIN = np.uint64(0xE5A1F3C2D4B69788), np.uint64(0xB1C6E2F4A9D37851)
@@ -58,9 +58,14 @@ def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _sent(kind: str, key: np.ndarray, cols: list[np.ndarray], vals: list[np.ndarray], shards: int) -> list[tuple[str, int, bytes, bytes]]:
-    """Rows for the shards; key ascends."""
+    """Rows for the shards; key ascends. Within a row, n-grams stand by their first word, whose repeats then compress away."""
     at = np.searchsorted(shard_of(key, shards), np.arange(shards + 1))
-    return [(kind, s, b"".join(c[a:b].tobytes() for c in cols), b"".join(v[a:b].astype(np.uint32).tobytes() for v in vals)) for s, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a]
+    out = []
+    for s, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
+        if b > a:
+            order = np.argsort(cols[0][a:b], kind="stable")
+            out.append((kind, s, b"".join(c[a:b][order].tobytes() for c in cols), b"".join(v[a:b][order].astype(np.uint32).tobytes() for v in vals)))
+    return out
 
 
 def _batch(rows: list[tuple[str, int, bytes, bytes]]) -> pa.RecordBatch:
@@ -116,8 +121,10 @@ def _level(folder: str, order: int, k: int, shards: int):
         cols, vals = _unpacked(blobs, k, 1)
         blobs.clear()
         key, cols, (c,) = added(key_of(cols), cols, vals)
-        _put(folder, f"gram{k}-{shard}-keys", key)
-        _put(folder, f"gram{k}-{shard}-vals", c.astype(np.uint32))
+        once = c == 1  # most n-grams; their hashes alone are kept
+        _put(folder, f"gram{k}-{shard}-once", key[once])
+        _put(folder, f"gram{k}-{shard}-keys", key[~once])
+        _put(folder, f"gram{k}-{shard}-vals", c[~once].astype(np.uint32))
         rows = []
         seen = [(c == 1).astype(np.int64), (c == 2).astype(np.int64), (c > 2).astype(np.int64)]
         ctx, _, sums = added(key_of(cols[:-1]), [], [c, *seen])
@@ -200,12 +207,14 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2, model_dir: st
     rest = []
     for k in range(order, 1, -1):
         rows = written(rows.groupBy("shard").applyInArrow(_level(folder, order, k, shards), ROWS), f"lexiflow-gram{k}")
+        release(spark)
         rest.append(rows.where(F.col("kind").startswith("ctx") | F.col("kind").startswith("stat") | (F.col("kind") == "uni")))
         rows = rows.where(F.col("kind") == f"gram{k - 1}")
     every = rest[0]
     for x in rest[1:]:
         every = every.unionByName(x)
     last = written(every.where(~F.col("kind").startswith("stat")).groupBy("kind", "shard").applyInArrow(_last(folder), ROWS), "lexiflow-words")
+    release(spark)
     stats: dict[str, np.ndarray] = {}
     for r in last.unionByName(every.where(F.col("kind").startswith("stat"))).select("kind", "vals").toLocalIterator():  # a short row a shard
         v = np.frombuffer(r[1], dtype=np.int64)
@@ -234,14 +243,14 @@ class Scorer:
         for s in np.flatnonzero(np.diff(at)).tolist():
             if (kind, s) not in self.open:
                 path = f"{self.model['folder']}/{kind}-{s}"
-                self.open[kind, s] = tuple(np.load(f"{path}-{x}.npy", mmap_mode="r") for x in ("keys", "vals")) if os.path.exists(f"{path}-vals.npy") else None
-            if self.open[kind, s] is None or not len(self.open[kind, s][0]):
-                continue
-            have, vals = self.open[kind, s]
-            own = keys[at[s] : at[s + 1]]
-            i = np.minimum(np.searchsorted(have, own), len(have) - 1)
-            hit = np.flatnonzero(have[i] == own)
-            out[at[s] + hit] = np.asarray(vals[i[hit]]).reshape(len(hit), width)
+                self.open[kind, s] = {x: np.load(f"{path}-{x}.npy", mmap_mode="r") for x in ("keys", "vals", "once") if os.path.exists(f"{path}-{x}.npy")}
+            files, own = self.open[kind, s], keys[at[s] : at[s + 1]]
+            for name in ("keys", "once"):
+                have = files.get(name, ())
+                if len(have):
+                    i = np.minimum(np.searchsorted(have, own), len(have) - 1)
+                    hit = np.flatnonzero(have[i] == own)
+                    out[at[s] + hit] = np.asarray(files["vals"][i[hit]]).reshape(len(hit), width) if name == "keys" else 1
         return out
 
     def block(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
