@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds find where a test item may stand in a text, Smith-Waterman alignment scores it.
 
 Words are runs of letters and digits, ASCII letters folded. Every item's n-grams are counted over the whole corpus; its
-rarer half (`least_seeds` of them at least) are its seeds. Where a text has enough seeds of an item close to one diagonal, the
+rarer half (`least_seeds` of them at least) are its seeds. Where a text has a seed of an item (a copy that keeps no seed is missed), the
 item is aligned with that passage word by word (match 2, mismatch and gap -1); similarity is the best score over that of a
 perfect copy. Items are broadcast in blocks of at most `block_words` words, so neither the broadcast nor a worker's index
 grows with the benchmark; each block reads the corpus again.
@@ -40,14 +40,14 @@ class Index:
     sieve: np.ndarray
 
 
-def index(items: list[np.ndarray], seeds: list[np.ndarray], grams: list[np.ndarray]) -> Index:
+def index(items: list[np.ndarray], seeds: list[np.ndarray], grams: list[np.ndarray], least: int = 1) -> Index:
     h = np.concatenate([g[s] for g, s in zip(grams, seeds, strict=True)] or [np.zeros(0, np.uint64)])
     item = np.repeat(np.arange(len(items)), [len(s) for s in seeds])
     place = np.concatenate(seeds or [np.zeros(0, np.int64)])
     order = np.argsort(h, kind="stable")
     sieve = np.zeros(SIEVE, dtype=bool)
     sieve[(h % np.uint64(SIEVE)).astype(np.int64)] = True
-    need = np.array([min(2, len(s)) for s in seeds], dtype=np.int64)
+    need = np.array([min(least, len(s)) for s in seeds], dtype=np.int64)
     return Index(items, h[order], item[order], place[order], need, sieve)
 
 
@@ -123,7 +123,7 @@ def _batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Rec
             yield part, h, ngram_hashes(h, n), counts
 
 
-def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n: int = 3, threshold: float = 0.5, least_seeds: int = 12, block_words: int = 1_000_000) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n: int = 3, threshold: float = 0.5, least_seeds: int = 24, block_words: int = 1_000_000) -> DataFrame:
     """(id, item, similarity, end_word) for each text and each item that it holds, whole or edited."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
