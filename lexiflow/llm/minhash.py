@@ -3,7 +3,9 @@
 1. Every text becomes a set of word shingles, each a 64-bit hash. Texts with the same set form a class, held by its least id.
 2. A class's sketch is the k smallest hashes of its set. Inverted lists of the `listed` smallest retained values tell which
    classes overlap. Classes of which so many values are in lists of over `long_list` that a partner may share no others are
-   listed by their runs of three retained values and their size, and if that list is long, of four. In what is still as long,
+   listed by their runs of three retained values and their size, and if that list is long, of four. A union of few values may have no
+   common run of four; sets that small are listed by all that they can have in common with a similar one (themselves without some
+   members), and each is paired with the one of its list that lacks the fewest, which links all that are similar. In long lists of runs,
    all members are held against four leaders, which are the same in all lists of one group of copies; later, the members that this left outside their list's largest component are held against all others. So
    work is linear in the size of a group of copies, and no list is cut.
 3. The union sketch (the k smallest values of both) estimates the similarity; pairs four standard errors below the threshold go.
@@ -15,13 +17,16 @@ Defined cases: null or empty texts, and those without words, have empty sets and
 whole sequence is one; a row with a null id is linked with nothing and has no component; rows of one id count as one document;
 an empty table gives an empty result.
 
-Misses: a pair at a threshold of 0.8 shares none of 16 listed values with a probability below 1e-9, no run of four in long lists with
-4e-5, and fails the estimate with 3e-5.
+Misses: a pair at a threshold of 0.8 shares none of 16 listed values with a probability below 1e-9; with sketches cut to 48 values it has no
+run of four in long lists with 4e-5, and fails the estimate with 3e-5. Of sets that the sketch holds whole, no similar pair lacks both a
+run of four and a common list of the small (for thresholds of 0.8 and more; below, unions in which over three values differ may lack both).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 from math import sqrt
 
 import numpy as np
@@ -95,6 +100,69 @@ def _counted(rows: DataFrame, name: str) -> DataFrame:
     return written(rows.join(counts, "key"), name)
 
 
+def _spare(common: int, num: int, den: int) -> int:
+    """Values that two similar sets with so many in common can have beyond them, together."""
+    return common * (den - num) // num
+
+
+def small_union(num: int, den: int, k: int, run: int = 4, most: int = 3) -> int:
+    """The largest union, up to k, of which two similar sets may lack a common run, as far as at most so many of its values differ."""
+    out = 0
+    for u in range(1, k + 1):
+        common = -(-u * num // den)
+        if u - common > most:
+            break
+        if common <= (run - 1) * (u - common + 1):
+            out = u
+    return out
+
+
+@lru_cache(maxsize=256)
+def _chosen(n: int, gone: int) -> np.ndarray:
+    return np.array(list(combinations(range(n), gone)), dtype=np.int64)
+
+
+def cores(s: np.ndarray, num: int, den: int) -> list[tuple[np.ndarray, int, int]]:
+    """All that a set can have in common with a similar one, as (keys, values that the set has beyond it, values that both can have)."""
+    h = mix(s.view(np.uint64) + C1)
+    total, out = h.sum(dtype=np.uint64), []
+    for gone in range(len(s)):
+        spare = _spare(len(s) - gone, num, den)
+        if spare < max(gone, 1):
+            break
+        out.append(((total - h[_chosen(len(s), gone)].sum(axis=1, dtype=np.uint64)).view(np.int64), gone, spare))
+    return out
+
+
+def _small_pairs(small: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that link all similar sets of small (rep, n, sketch), whose sketches are whole. Any two sets of a list that have few enough values
+    beyond what it stands for are similar, so each is paired with the one that has the fewest."""
+    from pyspark.sql import types as T
+
+    rep = small.schema["rep"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, len(batch), 1000):
+                part = batch.slice(a, 1000)
+                at, keys, gone, spare = [], [], [], []
+                for i, s in enumerate(part.column("sketch")):
+                    for key, g, e in cores(s.values.to_numpy(zero_copy_only=False), num, den):
+                        at.append(np.full(len(key), i))
+                        keys.append(key)
+                        gone.append(np.full(len(key), g))
+                        spare.append(np.full(len(key), e))
+                if keys:
+                    at = pa.array(np.concatenate(at))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), part.column("rep").take(at), part.column("n").take(at), pa.array(np.concatenate(gone)), pa.array(np.concatenate(spare))], names=["key", "rep", "n", "gone", "spare"])
+
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("rep", rep), *[T.StructField(c, T.LongType()) for c in ("n", "gone", "spare")]])
+    lists = written(mapped(small.select("rep", "n", "sketch"), run, schema), "lexiflow-cores")
+    least = written(lists.groupBy("key").agg(F.min(F.struct("gone", "rep", "n")).alias("l"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "l"), "lexiflow-least")
+    star = lists.join(least, "key").where("rep != l.rep and gone + l.gone <= spare")
+    return written(star.select(F.least("rep", "l.rep").alias("a"), F.greatest("rep", "l.rep").alias("b"), F.col("n").alias("na"), F.col("l.n").alias("nb")), "lexiflow-small")
+
+
 def candidates(reps: DataFrame, num: int, den: int, listed: int, long_list: int, leaders: int = 4) -> tuple[DataFrame, DataFrame | None]:
     """Pairs (a, b) of classes that share a list, and the lists (key, rep, n) of which only the leaders' pairs are among them, if there are any. reps: rep, n, sketch."""
     lists = _counted(reps.select("rep", "n", F.explode(F.slice("sketch", 1, listed)).alias("key")), "lexiflow-lists")
@@ -105,6 +173,10 @@ def candidates(reps: DataFrame, num: int, den: int, listed: int, long_list: int,
     crowded = lists.where(F.col("c") > long_list).groupBy("rep").agg(F.count(F.lit(1)).alias("h"))
     again = written(reps.join(written(crowded, "lexiflow-long"), "rep").where(F.col("h") >= need).select("rep", "n", "sketch"), "lexiflow-crowded")
     size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / t)))
+    whole = small_union(num, den, listed)
+    if whole and not again.isEmpty():
+        found = found.unionByName(_small_pairs(again.where(F.col("n") <= whole), num, den))
+        again = again.where(F.col("n") * den >= (whole + 1) * num)  # no similar one of smaller sets makes a larger union
     for run in (3, 4):  # these classes are listed by runs of retained values and by size
         if again.isEmpty():
             break

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +10,7 @@ from lexiflow.llm import minhash
 from lexiflow.llm.components import components
 
 from .brute import near
+from .conftest import prose
 
 
 @pytest.mark.parametrize(("width", "num", "den", "long_list"), [(3, 85, 100, 32), (5, 80, 100, 8)])
@@ -17,6 +21,40 @@ def test_links_as_brute_force(frame, texts, width, num, den, long_list):
     assert all(r.kept == (r.component == i) for i, r in got.items())
 
 
+@pytest.mark.parametrize(("width", "num", "den"), [(3, 85, 100), (5, 80, 100)])
+def test_families_of_short_texts_as_brute_force(spark, width, num, den):
+    rng = random.Random(width)
+    docs = {}
+    for length in (8, 9, 12, 17):
+        base = [f"{w}{length}" for w in prose(rng, length).split()]
+        docs[len(docs)] = " ".join(base)
+        for i in range(300):
+            new = f"w{rng.randrange(10**9)}"
+            docs[len(docs)] = " ".join(([new, *base], [*base, new], [new, *base[1:]], [*base[:-1], new], base[:-1] + [new, new + "y"])[i % 5])
+    want = near(docs, width, num, den)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    assert {r.id: (r.n, r.component) for r in minhash.link_near(frame, width=width, num=num, den=den).collect()} == want
+
+
+@pytest.mark.parametrize(("num", "den"), [(85, 100), (80, 100), (90, 100)])
+def test_small_sets_share_a_run_or_a_core(num, den):
+    rng = np.random.default_rng(num)
+    whole = minhash.small_union(num, den, 48)
+    for _ in range(4000):
+        union = np.sort(rng.choice(10**9, rng.integers(2, 40), replace=False)).astype(np.int64)
+        differ = rng.permutation(len(union))[: len(union) - -(-len(union) * num // den)]
+        to_a = rng.random(len(differ)) < 0.5
+        a, b = np.delete(union, differ[to_a]), np.delete(union, differ[~to_a])
+        if len(a) == len(b) == len(union):
+            continue
+        if len(union) <= whole:
+            lists = [{int(k): (g, e) for keys, g, e in minhash.cores(s, num, den) for k in keys} for s in (a, b)]
+            assert any(x[0] + lists[1][k][0] <= x[1] for k, x in lists[0].items() if k in lists[1])
+        else:
+            runs = [{tuple(s[i : i + 4]) for i in range(len(s) - 3)} for s in (a, b)]
+            assert runs[0] & runs[1]
+
+
 def test_kept_rows_keep_columns_and_one_of_each_group(frame, texts):
     want = near(texts, 5, 80, 100)
     out = minhash.kept_rows(frame.withColumn("rep", F.lit("clash")).withColumn("component", F.lit(1)))
