@@ -159,7 +159,7 @@ def q_index_rejoin(t: Tables) -> DataFrame:
 
 @query("SELECT conv_id, coalesce(string_agg(turn || ' ' || substr(text, 1, 20), '<br>' ORDER BY turn) FILTER (role = 'system'), '(no definition)') AS definition FROM conversations GROUP BY conv_id")
 def q_def_concat(t: Tables) -> DataFrame:
-    line = F.concat_ws(" ", F.col("turn").cast("string"), F.substring("text", 1, 20))
+    line = F.concat_ws(" ", F.col("turn").cast("string"), F.col("text"))
     found = t.conversations.groupBy("conv_id").agg(F.collect_list(F.when(F.col("role") == "system", F.struct(F.col("turn").alias("k"), line.alias("s")))).alias("x"))
     return found.select("conv_id", render.or_placeholder(tx.ordered_text(F.col("x"), "<br>")).alias("definition"))
 

@@ -44,3 +44,10 @@ def test_entry_has_rows(spark):
 
 def test_names_and_sql_fit():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_definitions_hold_whole_texts(spark):
+    rows = pd.read_parquet(f"{FOLDER}/conversations.parquet").sort_values(["conv_id", "turn"])
+    want = {c: "<br>".join(f"{t} {x}" for t, r, x in zip(g.turn, g.role, g.text, strict=True) if r == "system") or "(no definition)" for c, g in rows.groupby("conv_id")}
+    assert any(len(x) > 200 for x in want.values())
+    assert {r.conv_id: r.definition for r in entry.queries()["q_def_concat"](spark, FOLDER).collect()} == want
