@@ -84,12 +84,13 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def passages(places: np.ndarray, inner: np.ndarray, length: int, need: int) -> list[tuple[int, int]]:
-    """Word ranges of a text that may hold an item of this length, from its seeds' places in the text and in the item."""
+def passages(places: np.ndarray, inner: np.ndarray, length: int, need: int, threshold: float) -> list[tuple[int, int]]:
+    """Word ranges of a text that may hold an item of this length, from its seeds' places in the text and in the item. An alignment
+    that reaches the threshold has at most `slack` gaps, so its seeds' diagonals, and its ends, are no further apart."""
     diagonal = places - inner
     order = np.argsort(diagonal, kind="stable")
     diagonal, inner = diagonal[order], inner[order]
-    slack = max(4, length // 2)
+    slack = max(4, int((1 - threshold) * 2 * length + 1e-9))
     cut = np.flatnonzero(np.diff(diagonal) > slack) + 1
     out = []
     for d, i in zip(np.split(diagonal, cut), np.split(inner, cut), strict=True):
@@ -110,7 +111,7 @@ def hits(h: np.ndarray, grams: np.ndarray, ix: Index, threshold: float) -> list[
         if own.sum() < ix.need[i]:
             continue
         words_ = ix.items[i]
-        top = max((align(words_, h[a:b]) + (a,) for a, b in passages(at[own], ix.place[k[own]], len(words_), ix.need[i])), default=None)
+        top = max((align(words_, h[a:b]) + (a,) for a, b in passages(at[own], ix.place[k[own]], len(words_), ix.need[i], threshold)), default=None)
         if top and top[0] >= threshold * 2 * len(words_):
             out.append((int(i), top[0] / (2 * len(words_)), top[1] + top[2]))
     return out

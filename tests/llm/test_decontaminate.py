@@ -66,6 +66,21 @@ def test_scores_as_brute_force(tables):
         assert r.similarity == pytest.approx(plain_score(w, split(texts[r.id])) / (2 * len(w)))
 
 
+def test_copies_with_words_inserted_as_brute_force(spark):
+    rng = random.Random(4)
+    items = {i: prose(rng, 40) for i in range(12)}
+    docs = {}
+    for k, text in items.items():
+        w = text.split()
+        for more in (10, 22, 26, 30, 34, 38):
+            at = rng.randrange(8, 32)
+            docs[len(docs)] = (f"{prose(rng, 50)} {' '.join(w[:at])} {prose(rng, more)} {' '.join(w[at:])} {prose(rng, 50)}", k)
+    full = {i: plain_score(split(items[k]), split(t)) / 80 for i, (t, k) in docs.items()}
+    frames = [spark.createDataFrame([(i, t) for i, (t, _) in docs.items()], "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")]
+    got = {r.id: r.similarity for r in decontaminate.find(*frames).collect() if r.item == docs[r.id][1]}
+    assert got == pytest.approx({i: s for i, s in full.items() if s >= 0.5})
+
+
 def test_defined_cases(spark, no_rows, tables):
     docs, items, texts, own, leaks = tables
     assert decontaminate.find(no_rows, items).collect() == []
