@@ -6,8 +6,8 @@ space; one-versus-rest kernel ridge regression is solved in it. As the kernel is
 vectors and ridge weights fold into one matrix (n-grams x languages), and a block of texts is scored by one matrix product
 of its presence matrix with it.
 
-Learning reads a sample with a bound for each language (`per_lang`) and in text length (`most_bytes`); scoring reads every
-whole text. Model size is bounded by `most_grams` and `most_langs`, so it is broadcast.
+Learning reads a sample with a bound for each language in rows (`per_lang`) and in bytes (`most_bytes` for each of them); scoring reads
+every whole text. Model size is bounded by `most_grams` and `most_langs` (more languages are an error), so it is broadcast.
 
 Defined cases: a null text, an empty one and one without a letter get `und` with score 0; with no labelled row at all every
 text gets `und`; rows with a null language aren't learned from; repeated rows get the same prediction; all other columns of
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mapped
@@ -168,17 +168,23 @@ def score_block(buf: np.ndarray, offs: np.ndarray, model: Model) -> tuple[list[s
 
 
 def sample(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_lang: int = 400, most_rows: int = 3000, most_langs: int = 200, most_bytes: int = 1 << 15) -> tuple[list[bytes], list[str]]:
-    """A bounded sample of labelled texts: about per_lang, together about most_rows, of each of the most_langs commonest languages, chosen by a hash of the id."""
-    rows = docs.where(F.col(lang_col).isNotNull() & (F.octet_length(text_col) > 0) & (F.octet_length(text_col) <= most_bytes))
-    counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(most_langs).collect()
+    """A bounded sample of labelled texts: about per_lang, together about most_rows, of each language, chosen by a hash of the id whatever their
+    length; fewer where they are longer than most_bytes on average, but one at least. More than most_langs languages are an error."""
+    rows = docs.where(F.col(lang_col).isNotNull() & (F.octet_length(text_col) > 0))
+    slots = 1 << 40
+    chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), F.lit(slots))
+    counts = rows.groupBy(lang_col).agg(F.count(F.lit(1)), F.sum(F.octet_length(text_col).cast("long")), F.min(chance)).limit(most_langs + 1).collect()
     if not counts:
         return [], []
+    if len(counts) > most_langs:
+        raise ValueError(f"more than {most_langs} languages; set most_langs")
     per_lang = max(8, min(per_lang, most_rows // len(counts)))
-    slots = 1 << 40
-    rate = F.create_map(*[F.lit(x) for r in counts for x in (r[0], int(min(1.0, per_lang / r[1]) * slots))])
-    chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), F.lit(slots))
+    room = per_lang * most_bytes
+    rate = F.create_map(*[F.lit(x) for g, n, size, least in counts for x in (g, max(int(min(1.0, per_lang / n, room / size) * slots), least + 1))])
     picked = rows.where(chance < F.coalesce(F.try_element_at(rate, F.col(lang_col)), F.lit(0)))
-    out = picked.select(F.col(text_col).alias("t"), F.col(lang_col).alias("g"), chance.alias("c"), F.xxhash64(text_col).alias("h")).orderBy("c", "h").limit(2 * per_lang * len(counts)).collect()
+    picked = picked.select(F.col(text_col).alias("t"), F.col(lang_col).alias("g"), chance.alias("c"), F.xxhash64(text_col).alias("h"), F.octet_length(text_col).cast("long").alias("size"))
+    so_far = F.sum("size").over(Window.partitionBy("g").orderBy("c", "h").rowsBetween(Window.unboundedPreceding, 0))
+    out = picked.withColumn("so_far", so_far).where((F.col("so_far") <= room) | (F.col("so_far") == F.col("size"))).orderBy("c", "h").limit(2 * per_lang * len(counts)).collect()
     return [r[0].encode() for r in out], [r[1] for r in out]
 
 

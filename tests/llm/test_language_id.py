@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from lexiflow.llm import language_id
@@ -67,3 +68,17 @@ def test_defined_cases(spark, no_rows):
     assert out.columns == df.columns and sorted(r.doc_id or 0 for r in out.collect()) == [0, 4, 5, 6] and {r.score for r in out.collect()} == {"clash"}
     unlabelled = df.drop("score").withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
+
+
+def test_learns_from_long_texts_and_leaves_no_language_out(spark):
+    rng = random.Random(8)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(4))
+    text = lambda letters, n: " ".join(word(letters) for _ in range(n))
+    rows = [(i, text("abcdef", 60), "short") for i in range(40)] + [(100 + i, text("ghijkl", 9000), "long") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(docs).collect()} == {i: g for i, _, g in rows}
+    texts, langs = language_id.sample(docs, most_bytes=1 << 10, per_lang=8)
+    assert 0 < sum(len(t) for t, g in zip(texts, langs, strict=True) if g == "short") <= 8 << 10
+    assert langs.count("long") == 1  # one text is over the room of its language
+    with pytest.raises(ValueError, match="more than 1 languages"):
+        language_id.sample(docs, most_langs=1)
