@@ -51,3 +51,9 @@ def test_definitions_hold_whole_texts(spark):
     want = {c: "<br>".join(f"{t} {x}" for t, r, x in zip(g.turn, g.role, g.text, strict=True) if r == "system") or "(no definition)" for c, g in rows.groupby("conv_id")}
     assert any(len(x) > 200 for x in want.values())
     assert {r.conv_id: r.definition for r in entry.queries()["q_def_concat"](spark, FOLDER).collect()} == want
+
+
+def test_merge_reads_every_label(spark):
+    labels = pd.read_parquet(f"{FOLDER}/labels.parquet")
+    want = {d: ("late", q + 10) if d % 3 == 0 else ("early", q) for d, q in zip(labels.doc_id, labels.quality, strict=True)}
+    assert {r.doc_id: (r.part, r.quality) for r in entry.queries()["q_merge_last_wins"](spark, FOLDER).collect()} == want
