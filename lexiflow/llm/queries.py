@@ -27,7 +27,7 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold_ = fold(F.col("doc_id"), 10)
-    out = kneser_ney.learn_and_score(table(spark, sf_dir, "documents"), fold_ != 0).withColumnRenamed("id", "doc_id")
+    out = kneser_ney.learn_and_score(table(spark, sf_dir, "documents"), fold_ != 0, order=3).withColumnRenamed("id", "doc_id")
     return out.select("doc_id", (fold_ == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from lexiflow.llm import kneser_ney
+from lexiflow.llm import kneser_ney, queries
 from lexiflow.llm.common import fold as fold_column
 
 from .brute import base_scores, fold, kneser_ney as plain
@@ -29,3 +31,12 @@ def test_nothing_to_learn_from(spark, no_rows):
     df = spark.createDataFrame([(1, "a b"), (None, None)], "doc_id long, text string")
     got = sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in kneser_ney.learn_and_score(df, F.lit(False)).collect())
     assert got == [(1, 0, 0, 0.0, 0.0), (3, 0, 0, 0.0, 0.0)]
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no driver tables here")
+def test_query_scores_with_two_words_of_context(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    want = plain(docs, lambda i: fold(i, 10) != 0, 3)
+    got = {r.doc_id: r.score for r in queries.op4_kneser_ney(spark, folder).collect()}
+    assert got == pytest.approx(want, rel=1e-6)
