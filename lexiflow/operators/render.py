@@ -78,11 +78,19 @@ def notes(df: DataFrame, fields: dict[str, Column], guid: Column) -> DataFrame:
 
 
 def cards(entries: DataFrame, audio: DataFrame, pos: DataFrame, definition_tr: DataFrame, expression_tr: DataFrame, language: str, position: str = "ord") -> DataFrame:
-    """Notes of ranked entries (with `frequency_rank` and the position column). Translations are joined as one map a headword, so definitions stay in place."""
+    """Notes of ranked entries (with `frequency_rank` and the position column). Translations are joined as one map a headword, so definitions stay in place.
+    Headwords meet without the white space around them; of several translations of one text, that whose headword has none wins, then the least.
+    Of several translations of a label, or files of one address, the least counts."""
     none = F.array().cast("array<string>")
-    pair = lambda k: F.map_from_entries(F.collect_list(F.struct(F.col(k), F.struct("lemma", "gloss"))))
-    defs = definition_tr.dropDuplicates(["headword", "definition"]).groupBy(tx.strip(F.col("headword")).alias("_hw")).agg(pair("definition").alias("_defs"))
-    exprs = expression_tr.dropDuplicates(["headword", "expression"]).groupBy(tx.strip(F.col("headword")).alias("_hw2")).agg(pair("expression").alias("_exprs"))
+
+    def pairs(rows: DataFrame, k: str, hw: str, name: str) -> DataFrame:
+        bare = tx.strip(F.col("headword"))
+        one = rows.where(F.col(k).isNotNull()).groupBy(bare.alias(hw), k).agg(F.min(F.struct((F.col("headword") != bare).alias("padded"), "lemma", "gloss")).alias("w"))
+        return one.groupBy(hw).agg(F.map_from_entries(F.collect_list(F.struct(F.col(k), F.struct("w.lemma", "w.gloss")))).alias(name))
+
+    defs, exprs = pairs(definition_tr, "definition", "_hw", "_defs"), pairs(expression_tr, "expression", "_hw2", "_exprs")
+    pos = pos.groupBy("pos").agg(F.min("pos_tr").alias("pos_tr"))
+    audio = audio.groupBy("url").agg(F.min("path").alias("path"))
     e = entries.withColumn("_key", tx.strip(F.col("headword")))
     e = e.join(defs, e["_key"] == defs["_hw"], "left").join(exprs, e["_key"] == exprs["_hw2"], "left").join(pos.withColumnRenamed("pos", "_pos"), F.col("pos") == F.col("_pos"), "left")
     sounds = entries.select(position, F.posexplode("udtale").alias("_i", "_u")).join(audio.withColumnRenamed("url", "_url"), F.col("_u.audio") == F.col("_url"), "left")

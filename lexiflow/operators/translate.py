@@ -1,7 +1,7 @@
 """Machine translation of entries: batches, payloads, the strict contract of replies, retries and status.
 
-Replies are checked twice over by the same rules: `check_reply` in Python, inside the loop that asks again, and `checked`
-on columns, for replies that are stored already. The service itself is injected.
+`check_reply` has the rules for replies, once: the loop that asks again calls it for each, and `checked` for columns of replies that are
+stored already, in Arrow batches. The service itself is injected, and the wording of the requests is an argument.
 
 A headword's batches count together: if one of them fails for good, the headword has no translations and its status says so.
 """
@@ -9,6 +9,7 @@ A headword's batches count together: if one of them fails for good, the headword
 from __future__ import annotations
 
 import json
+import random
 import re
 import time
 from collections.abc import Callable, Iterator
@@ -21,12 +22,27 @@ from ..functions import text as tx
 from ..session import ship
 
 DEFINITIONS, EXPRESSIONS = "definitions", "fixed_expressions"
+# fixed value: a code fence around a reply
 FENCE = re.compile(r"^```(?:json)?|```$", re.IGNORECASE)
 
 
-def payload(headword: str, items: list[str], kind: str = DEFINITIONS) -> str:
-    """The request: the headword and its texts under "0".."n-1"."""
-    return json.dumps({"headword": headword, kind: {str(i): x for i, x in enumerate(items)}}, ensure_ascii=False, indent=2)
+INSTRUCTIONS = {
+    DEFINITIONS: 'Below is a headword with numbered definitions. Answer in {language} with JSON alone, of the same shape: the same headword, and under "definitions" for each number an object with "lemma" (the word that a dictionary of {language} would list) and "gloss" (a short translation of the definition). Leave no number out and add none.',
+    EXPRESSIONS: 'Below is a headword with numbered fixed expressions. Answer in {language} with JSON alone, of the same shape: the same headword, and under "fixed_expressions" for each number an object with "lemma" (the matching expression in {language}) and "gloss" (what it means). Leave no number out and add none.',
+    "pos": "Below is a list of part-of-speech labels. Answer with one JSON object alone that has each label, unchanged, as a key and its usual name in {language} as the value.",
+}
+CHINESE = "Write simplified characters."
+
+
+def instruction(kind: str, language: str) -> str:
+    """The wording that goes before a payload."""
+    return INSTRUCTIONS[kind].replace("{language}", language) + (f" {CHINESE}" if language.lower() == "chinese" else "")
+
+
+def payload(headword: str, items: list[str], kind: str = DEFINITIONS, intro: str | None = None) -> str:
+    """The request: the headword and its texts under "0".."n-1", after the wording, if any."""
+    body = json.dumps({"headword": headword, kind: {str(i): x for i, x in enumerate(items)}}, ensure_ascii=False, indent=2)
+    return f"{intro}\n\n{body}" if intro else body
 
 
 def parsed(reply: str | None):
@@ -89,8 +105,9 @@ def check_pos_reply(tags: list[str], reply: str | None, most_shared: int = 4) ->
     return {k: str(v) for k, v in data.items()}, None
 
 
-def ask(service: Callable[[str], str], request: str, check: Callable[[str], tuple], tries: int = 10, pause: float = 2.0, sleep: Callable[[float], None] = time.sleep):
-    """Asks until a reply passes. Each request after the first tells what was wrong; the pause grows with the number of the try."""
+def ask(service: Callable[[str], str], request: str, check: Callable[[str], tuple], tries: int = 10, pause: float = 2.0, sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = lambda: 0.0):
+    """Asks until a reply passes. Each request after the first tells what was wrong; the pause grows with the number of the try,
+    and jitter adds to it."""
     error = None
     for n in range(1, tries + 1):
         try:
@@ -102,7 +119,7 @@ def ask(service: Callable[[str], str], request: str, check: Callable[[str], tupl
         if found is not None:
             return found, None
         if n < tries:
-            sleep(pause * n)
+            sleep(pause * n + jitter())
     return None, error
 
 
@@ -118,10 +135,11 @@ def requests(entries: DataFrame, kind: str, size: int | None) -> DataFrame:
     return numbers.select("headword", "chunk", F.slice("texts", F.col("chunk") * size + 1, size).alias("items"))
 
 
-def translate(batches: DataFrame, service: Callable[[str], str], kind: str = DEFINITIONS, **asking) -> DataFrame:
+def translate(batches: DataFrame, service: Callable[[str], str], kind: str = DEFINITIONS, intro: str | None = None, **asking) -> DataFrame:
     """(headword, chunk, n_items, error, text, lemma, gloss): a row for each text, or one with the error. Write the result before it is
-    used twice, or the service is asked again."""
+    used twice, or the service is asked again. Pauses have up to a second more by chance, so that tasks don't ask again in step."""
     ship(batches.sparkSession)
+    asking = {"jitter": random.random} | asking
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -131,7 +149,7 @@ def translate(batches: DataFrame, service: Callable[[str], str], kind: str = DEF
                 if not items:
                     rows.append((headword, chunk, 0, None, None, None, None))
                     continue
-                found, error = ask(service, payload(headword, items, kind), lambda reply, h=headword, i=items: check_reply(h, i, reply, kind), **asking)
+                found, error = ask(service, payload(headword, items, kind, intro), lambda reply, h=headword, i=items: check_reply(h, i, reply, kind), **asking)
                 if found is None:
                     rows.append((headword, chunk, len(items), error, None, None, None))
                 else:
@@ -151,28 +169,32 @@ def settled(rows: DataFrame, kind: str = DEFINITIONS) -> tuple[DataFrame, DataFr
     return good.select("headword", F.col("text").alias(name), "lemma", "gloss"), progress
 
 
+def translate_pos(tags: DataFrame, service: Callable[[str], str], language: str, most_shared: int = 4, tries: int = 5, **asking) -> DataFrame:
+    """(pos, pos_tr, error) of the labels in the column `pos`, from one request for all of them, so that each translation can be held against the
+    others; a dictionary has some dozens of labels. If no reply passes, no label has a translation and all have the error."""
+    ship(tags.sparkSession)
+    asking = {"jitter": random.random} | asking
+    labels = tags.where(tx.truthy(F.col("pos"))).agg(F.array_sort(F.collect_set("pos")).alias("tags"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for own in map(list, frame["tags"]):
+                if not own:
+                    continue
+                request = f"{instruction('pos', language)}\n\n{json.dumps(own, ensure_ascii=False)}"
+                found, error = ask(service, request, lambda reply, own=own: check_pos_reply(own, reply, most_shared), tries=tries, **asking)
+                yield pd.DataFrame([(x, found and found[x], error) for x in own], columns=["pos", "pos_tr", "error"])
+
+    return labels.mapInPandas(run, "pos string, pos_tr string, error string")
+
+
 def checked(reply: Column, headword: Column, n_items: Column, kind: str = DEFINITIONS) -> Column:
     """The verdict on a stored reply: 'ok', 'invalid JSON', 'wrong schema', 'wrong length' or 'wrong keys'."""
-    clean = tx.strip_fence(reply)
-    whole = tx.json_value(clean)
-    top = F.from_json(F.when(F.schema_of_variant(whole).startswith("OBJECT"), clean), "map<string,string>")
-    own = F.try_element_at(top, headword)
-    inner = F.from_json(F.when(F.schema_of_variant(tx.json_value(own)).startswith("OBJECT"), own), "map<string,string>")
-    nested = F.try_element_at(inner, F.lit(kind))
-    is_object = lambda c: F.coalesce(F.schema_of_variant(tx.json_value(c)).startswith("OBJECT"), F.lit(False))
-    first = F.coalesce(F.try_element_at(top, F.lit("headword")) == headword, F.lit(False)) & F.array_contains(F.map_keys(top), kind)
-    digits = F.forall(F.map_keys(top), lambda k: k.rlike("^[0-9]+$")) if kind == DEFINITIONS else F.lit(False)
-    values = F.when(first, F.try_element_at(top, F.lit(kind))).when(is_object(nested), nested).when(digits, clean)
-    listed = F.from_json(F.when(F.coalesce(F.schema_of_variant(tx.json_value(values)).startswith("ARRAY"), F.lit(False)), values), "array<string>")
-    keys = F.map_keys(F.from_json(F.when(is_object(values), values), "map<string,string>"))
-    want = F.when(n_items > 0, F.transform(F.sequence(F.lit(0), F.greatest(n_items, F.lit(1)) - 1), lambda i: i.cast("string"))).otherwise(F.array().cast("array<string>"))
-    return (
-        F.when(top.isNull() | (F.size(top) == 0), "invalid JSON")
-        .when(values.isNull() & ~first, "wrong schema")
-        .when(listed.isNotNull() & F.lit(kind == DEFINITIONS), F.when(F.size(listed) == n_items, "ok").otherwise("wrong length"))
-        .when(F.coalesce(F.array_sort(keys) == F.array_sort(want), F.lit(False)), "ok")
-        .otherwise("wrong keys")
-    )
+
+    def verdicts(replies: pd.Series, headwords: pd.Series, sizes: pd.Series) -> pd.Series:
+        return pd.Series([check_reply(h, [str(i) for i in range(int(n))], r, kind)[1] or "ok" for r, h, n in zip(replies, headwords, sizes, strict=True)], dtype=object)
+
+    return F.pandas_udf(verdicts, "string")(reply, F.coalesce(headword, F.lit("")), F.coalesce(n_items, F.lit(0)))
 
 
 def pair(value: Column, kind: str = DEFINITIONS) -> Column:

@@ -37,5 +37,5 @@ def entries(spark: SparkSession, path: str) -> DataFrame:
 
 def json_map(spark: SparkSession, path: str, value: DataType | None = None, key: str = "key") -> DataFrame:
     """(key, value) of a JSON object; of a key that stands twice, the last value counts."""
-    whole = _whole(spark, path).select(F.explode(F.from_json("value", MapType(StringType(), value or StringType()))).alias(key, "value"))
-    return whole
+    rows = _whole(spark, path).select(F.posexplode(F.map_entries(F.from_json("value", MapType(StringType(), value or StringType())))).alias("_at", "_entry"))
+    return rows.groupBy(F.col("_entry.key").alias(key)).agg(F.max_by("_entry.value", "_at").alias("value"))

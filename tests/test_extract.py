@@ -76,6 +76,4 @@ def test_json_readers(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"headword": "b"}, {"headword": "a", "pos": null}]')
     assert [(r.ord, r.headword) for r in files.entries(spark, str(tmp_path / "a.json")).orderBy("ord").collect()] == [(0, "b"), (1, "a")]
     (tmp_path / "m.json").write_text('{"u": "p", "v": "q", "u": "r"}')
-    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
-    assert {r.key: r.value for r in files.json_map(spark, str(tmp_path / "m.json")).collect()} == {"u": "r", "v": "q"}
-    spark.conf.unset("spark.sql.mapKeyDedupPolicy")
+    assert sorted((r.key, r.value) for r in files.json_map(spark, str(tmp_path / "m.json")).collect()) == [("u", "r"), ("v", "q")]

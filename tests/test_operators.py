@@ -158,6 +158,17 @@ def test_cards_and_deck(spark, tmp_path):
     assert rows[0][0] == first.guid and len(rows[0][1].split("\x1f")) == len(NOTE_FIELDS) and rows[0][2] == "00012"
 
 
+def test_cards_with_repeated_translations(spark):
+    entry = {"file": "a.html", "headword": "a", "pos": "n", "udtale": [], "wordforms": [], "definitions": [{"number": "1", "definition": "d"}], "fixed_expressions": [], "orddannelser": {}}
+    df = spark.read.schema(ENTRY).json(spark.sparkContext.parallelize([json.dumps(entry)], 1)).withColumn("ord", F.lit(0)).withColumn("frequency_rank", F.lit(1))
+    table = spark.createDataFrame
+    tr = table([("a ", "d", "A", "G"), ("a", "d", "L", "G"), (" a", None, "x", "x")], "headword string, definition string, lemma string, gloss string")
+    pos = table([("n", "noun"), ("n", "name")], "pos string, pos_tr string")
+    exprs = table([], "headword string, expression string, lemma string, gloss string")
+    (card,) = render.cards(df, table([], "url string, path string"), pos, tr, exprs, "Danish").collect()
+    assert "L (G)" in card.Definition and card.POS == "n (name)"
+
+
 def test_written_files_stay(spark, tmp_path):
     df = spark.createDataFrame([("a.mp3", b"1"), ("b.mp3", b"2")], "name string, content binary")
     folder = str(tmp_path / "audio")

@@ -98,3 +98,25 @@ def test_one_failed_batch_empties_the_headword(spark):
     good, progress = tr.settled(rows)
     assert [tuple(r) for r in good.collect()] == [("b", "x", "x", "g")]
     assert {r.headword: (r.status, r.n_items) for r in progress.collect()} == {"a": ("failed", 0), "b": ("done", 1), "c": ("empty", 0)}
+
+
+def test_pos_labels_in_one_request(spark):
+    def service(request):
+        assert "German" in request
+        return "no" if "refused" not in request else json.dumps({"a": "A", "b": "B"})
+
+    tags = spark.createDataFrame([("a",), ("b",), ("a",), ("",), (None,)], "pos string")
+    asking = {"sleep": lambda _: None}
+    assert sorted(map(tuple, tr.translate_pos(tags, service, "German", **asking).collect())) == [("a", "A", None), ("b", "B", None)]
+    assert sorted(map(tuple, tr.translate_pos(tags, lambda _: "no", "German", **asking).collect())) == [("a", None, "invalid JSON"), ("b", None, "invalid JSON")]
+
+
+def test_jitter_adds_to_pauses():
+    pauses = []
+    tr.ask(lambda _: "no", "R", lambda r: (None, "bad"), tries=3, sleep=pauses.append, jitter=lambda: 0.5)
+    assert pauses == [2.5, 4.5]
+
+
+def test_wording_goes_before_the_payload():
+    intro = tr.instruction(tr.DEFINITIONS, "Chinese")
+    assert tr.CHINESE in intro and tr.payload("h", ["x"], intro=intro).startswith(intro)
