@@ -157,7 +157,7 @@ def q_index_rejoin(t: Tables) -> DataFrame:
     return texts.select("conv_id", "texts", F.explode(reply).alias("r")).select("conv_id", F.col("r.key").cast(BIG).alias("idx"), F.expr("element_at(texts, cast(r.key as int) + 1)").alias("text_md5"))
 
 
-@query("SELECT conv_id, coalesce(string_agg(turn || ' ' || substr(text, 1, 20), '<br>' ORDER BY turn) FILTER (role = 'system'), '(no definition)') AS definition FROM conversations GROUP BY conv_id")
+@query("SELECT conv_id, coalesce(string_agg(turn || ' ' || text, '<br>' ORDER BY turn) FILTER (role = 'system'), '(no definition)') AS definition FROM conversations GROUP BY conv_id")
 def q_def_concat(t: Tables) -> DataFrame:
     line = F.concat_ws(" ", F.col("turn").cast("string"), F.col("text"))
     found = t.conversations.groupBy("conv_id").agg(F.collect_list(F.when(F.col("role") == "system", F.struct(F.col("turn").alias("k"), line.alias("s")))).alias("x"))

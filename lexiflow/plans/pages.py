@@ -116,7 +116,7 @@ def q_upsert_existing_wins(t: Tables) -> DataFrame:
     return lookup.upsert(old, t.documents.select("doc_id", F.lit(None).cast("int").alias("quality"), F.lit("new").alias("origin")), ["doc_id"])
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'late' ELSE 'early' END AS part, CASE WHEN doc_id % 3 = 0 THEN quality + 10 ELSE quality END AS quality FROM labels WHERE doc_id % 2 = 0 OR doc_id % 3 = 0")
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'late' ELSE 'early' END AS part, CASE WHEN doc_id % 3 = 0 THEN quality + 10 ELSE quality END AS quality FROM labels")
 def q_merge_last_wins(t: Tables) -> DataFrame:
     early = t.labels.select("doc_id", F.lit("early").alias("part"), "quality")
     late = t.labels.where("doc_id % 3 = 0").select("doc_id", F.lit("late").alias("part"), (F.col("quality") + 10).alias("quality"))
