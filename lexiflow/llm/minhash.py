@@ -1,40 +1,37 @@
 """Near-duplicate detection with bottom-k sketches from one hash function.
 
 1. Every text becomes a set of word shingles, each a 64-bit hash. Texts with the same set form a class, held by its least id.
-2. A class's sketch is the k smallest hashes of its set. Inverted lists of the `listed` smallest retained values tell which
-   classes overlap. Classes of which so many values are in lists of over `long_list` that a partner may share no others are
-   listed by their runs of three retained values and their size, and if that list is long, of four. A union of few values may have no
-   common run of four; sets that small are listed by all that they can have in common with a similar one (themselves without some
-   members), and each is paired with the one of its list that lacks the fewest, which links all that are similar. In long lists of runs,
-   all members are held against four leaders, which are the same in all lists of one group of copies; later, the members that this left outside their list's largest component are held against all others. So
-   work is linear in the size of a group of copies, and no list is cut.
-3. The union sketch (the k smallest values of both) estimates the similarity; pairs four standard errors below the threshold go.
-4. The full sets decide. First each class's pair with its least partner is confirmed; pairs whose ends that has connected
-   need no second look, as only components are asked for; the others are confirmed too.
-5. Components of confirmed links.
+2. A class's sketch is the k smallest hashes of its set. The union sketch of two similar classes (the k smallest values of both) has a number of
+   common values at least (`least_shared`); so in any one order of all values, the same for all classes, the first of each class, as many
+   that it retains fewer others than that number, hold a common one. Inverted lists of these prefixes, rarest values first, generate the overlaps:
+   what many texts share comes last and is in no list.
+3. Lists of up to `long_list` classes are paired out; longer ones are first split by size. Where they stay long, as for groups of very many
+   near copies, each class is held against a leader of its longest list, the one whose whole set has the fewest values of its own.
+4. The union sketch filters pairs by the same number; the full sets decide. Components of confirmed links.
+5. What long lists hold outside their largest component is then paired exactly, from the full sets: both sizes tell how many common values
+   a link needs, so prefixes listed for classes of sizes are short, and only pairs of different components are listed. No list
+   is cut and no pair dropped.
 
 Defined cases: null or empty texts, and those without words, have empty sets and no links; with fewer words than a shingle, the
 whole sequence is one; a row with a null id is linked with nothing and has no component; rows of one id count as one document;
-an empty table gives an empty result.
+very long texts have whole sets (a few bytes a word in memory) and a sketch of fixed size; of equal sets and of ties the least id counts; other
+columns are never read, whatever their names; an empty table gives an empty result.
 
-Misses: a pair at a threshold of 0.8 shares none of 16 listed values with a probability below 1e-9; with sketches cut to 48 values it has no
-run of four in long lists with 4e-5, and fails the estimate with 3e-5. Of sets that the sketch holds whole, no similar pair lacks both a
-run of four and a common list of the small (for thresholds of 0.8 and more; below, unions in which over three values differ may lack both).
+Misses: a pair at the threshold whose union is larger than the sketch shares fewer values than `least_shared` with a probability of 1e-6 at
+most, and such a pair alone can be missed. Smaller unions and step 5 are exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import combinations
-from math import sqrt
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, written
+from .common import drop_written, mapped, written
 from .components import components
 from .words import mix, ngram_hashes, slices, words
 
@@ -82,16 +79,31 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, k: int) ->
     return mapped(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), run, schema)
 
 
+def least_shared(k: int, num: int, den: int, miss: float = 1e-6) -> int:
+    """How many of a union's k least values two sets of the threshold's similarity share at least, but for a probability of `miss`."""
+    below, t = 0.0, num / den
+    for x in range(k + 1):
+        below += comb(k, x) * t**x * (1 - t) ** (k - x)
+        if below > miss:
+            return x
+    return k
+
+
 def _fits(num: int, den: int):
     """Sizes that let two sets be similar enough."""
     return F.least("na", "nb") * den >= F.greatest("na", "nb") * num
 
 
+def _step(num: int, den: int, parts: int = 1) -> float:
+    """Width of a class of sizes on a logarithmic scale: the sizes of two similar sets are at most `parts` classes apart."""
+    return log(den / num) * (1 + 1e-9) / parts
+
+
 def _within(lists: DataFrame, num: int, den: int) -> DataFrame:
     """All pairs in lists of bounded length: lists has key, rep, n."""
     a = lists.select("key", F.col("rep").alias("a"), F.col("n").alias("na"))
     b = lists.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"))
-    return a.join(b, "key").where((F.col("a") < F.col("b")) & _fits(num, den)).select("a", "b", "na", "nb")
+    return a.join(b, "key").where((F.col("a") < F.col("b")) & _fits(num, den)).select("a", "b")
 
 
 def _counted(rows: DataFrame, name: str) -> DataFrame:
@@ -100,100 +112,61 @@ def _counted(rows: DataFrame, name: str) -> DataFrame:
     return written(rows.join(counts, "key"), name)
 
 
-def _spare(common: int, num: int, den: int) -> int:
-    """Values that two similar sets with so many in common can have beyond them, together."""
-    return common * (den - num) // num
-
-
-def small_union(num: int, den: int, k: int, run: int = 4, most: int = 3) -> int:
-    """The largest union, up to k, of which two similar sets may lack a common run, as far as at most so many of its values differ."""
-    out = 0
-    for u in range(1, k + 1):
-        common = -(-u * num // den)
-        if u - common > most:
-            break
-        if common <= (run - 1) * (u - common + 1):
-            out = u
+def prefixes(reps: DataFrame, num: int, den: int, k: int) -> DataFrame:
+    """(rep, n, key): the rarest retained values of each class, as many that two similar classes have one in common."""
+    kept = reps.select("rep", "n", F.explode("sketch").alias("key"))
+    counts = written(kept.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "lexiflow-lists")
+    shared = kept.join(counts, "key").groupBy("rep", "n").agg(F.collect_list(F.struct("c", "key")).alias("v"))
+    need = F.least(F.ceil(F.col("n") * num / den), F.lit(least_shared(k, num, den)))
+    # values that no other class has come first in the order; what they leave of the prefix is the rarest of the others
+    first = F.slice(F.array_sort("v"), 1, F.greatest(F.size("v") - need + 1, F.lit(0)).cast("int"))
+    out = written(shared.select("rep", "n", F.explode(first).alias("v")).select("rep", "n", "v.key"), "lexiflow-prefixes")
+    drop_written(counts)
     return out
 
 
-@lru_cache(maxsize=256)
-def _chosen(n: int, gone: int) -> np.ndarray:
-    return np.array(list(combinations(range(n), gone)), dtype=np.int64)
+def candidates(reps: DataFrame, num: int, den: int, k: int, long_list: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of classes that share a list of at most long_list classes, and the longer lists (key, rep, n, c)."""
+    lists = _counted(prefixes(reps, num, den, k), "lexiflow-lists")
+    found = _within(lists.where(F.col("c") <= long_list), num, den)
+    size = F.floor(F.log(F.col("n").cast("double")) / _step(num, den))
+    long_ = lists.where(F.col("c") > long_list).select("rep", "n", F.explode(F.array(F.xxhash64("key", size), F.xxhash64("key", size + 1))).alias("key"))
+    sized = _counted(long_, "lexiflow-sized")
+    found = found.unionByName(_within(sized.where(F.col("c") <= long_list), num, den))
+    return written(found.distinct(), "lexiflow-pairs"), sized.where(F.col("c") > long_list)
 
 
-def cores(s: np.ndarray, num: int, den: int) -> list[tuple[np.ndarray, int, int]]:
-    """All that a set can have in common with a similar one, as (keys, values that the set has beyond it, values that both can have)."""
-    h = mix(s.view(np.uint64) + C1)
-    total, out = h.sum(dtype=np.uint64), []
-    for gone in range(len(s)):
-        spare = _spare(len(s) - gone, num, den)
-        if spare < max(gone, 1):
-            break
-        out.append(((total - h[_chosen(len(s), gone)].sum(axis=1, dtype=np.uint64)).view(np.int64), gone, spare))
-    return out
-
-
-def _small_pairs(small: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that link all similar sets of small (rep, n, sketch), whose sketches are whole. Any two sets of a list that have few enough values
-    beyond what it stands for are similar, so each is paired with the one that has the fewest."""
+def ranked(hot: DataFrame, full: DataFrame) -> DataFrame:
+    """(rep, vs, weight): of each member of long lists (key, rep, n, c) the values of its whole set that another member has, too, rarest first, as
+    (c, v); c is the number of members that have it, weight the sum of these."""
     from pyspark.sql import types as T
 
-    rep = small.schema["rep"].dataType
+    sets = full.join(hot.select(F.col("rep").alias("id")).distinct().hint("merge"), "id", "left_semi")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, len(batch), 1000):
-                part = batch.slice(a, 1000)
-                at, keys, gone, spare = [], [], [], []
-                for i, s in enumerate(part.column("sketch")):
-                    for key, g, e in cores(s.values.to_numpy(zero_copy_only=False), num, den):
-                        at.append(np.full(len(key), i))
-                        keys.append(key)
-                        gone.append(np.full(len(key), g))
-                        spare.append(np.full(len(key), e))
-                if keys:
-                    at = pa.array(np.concatenate(at))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), part.column("rep").take(at), part.column("n").take(at), pa.array(np.concatenate(gone)), pa.array(np.concatenate(spare))], names=["key", "rep", "n", "gone", "spare"])
-
-    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("rep", rep), *[T.StructField(c, T.LongType()) for c in ("n", "gone", "spare")]])
-    lists = written(mapped(small.select("rep", "n", "sketch"), run, schema), "lexiflow-cores")
-    least = written(lists.groupBy("key").agg(F.min(F.struct("gone", "rep", "n")).alias("l"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "l"), "lexiflow-least")
-    star = lists.join(least, "key").where("rep != l.rep and gone + l.gone <= spare")
-    return written(star.select(F.least("rep", "l.rep").alias("a"), F.greatest("rep", "l.rep").alias("b"), F.col("n").alias("na"), F.col("l.n").alias("nb")), "lexiflow-small")
-
-
-def candidates(reps: DataFrame, num: int, den: int, listed: int, long_list: int, leaders: int = 4) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs (a, b) of classes that share a list, and the lists (key, rep, n) of which only the leaders' pairs are among them, if there are any. reps: rep, n, sketch."""
-    lists = _counted(reps.select("rep", "n", F.explode(F.slice("sketch", 1, listed)).alias("key")), "lexiflow-lists")
-    found, hot = _within(lists.where(F.col("c") <= long_list), num, den), None
-    # similar sets share so many listed values but for four standard errors: with fewer of its values in long lists, a class has a short list in common with each partner
-    t, m = num / den, F.least(F.size("sketch"), F.lit(listed))
-    need = F.greatest(F.floor(m * t - 4.2 * F.sqrt(m * t * (1 - t))), F.lit(1))
-    crowded = lists.where(F.col("c") > long_list).groupBy("rep").agg(F.count(F.lit(1)).alias("h"))
-    again = written(reps.join(written(crowded, "lexiflow-long"), "rep").where(F.col("h") >= need).select("rep", "n", "sketch"), "lexiflow-crowded")
-    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / t)))
-    whole = small_union(num, den, listed)
-    if whole and not again.isEmpty():
-        found = found.unionByName(_small_pairs(again.where(F.col("n") <= whole), num, den))
-        again = again.where(F.col("n") * den >= (whole + 1) * num)  # no similar one of smaller sets makes a larger union
-    for run in (3, 4):  # these classes are listed by runs of retained values and by size
-        if again.isEmpty():
-            break
-        runs = F.expr(f"transform(sequence(1, greatest(size(sketch) - {run - 1}, 1)), i -> xxhash64(slice(sketch, i, {run})))")
-        keys = again.select("rep", "n", F.explode(F.array_distinct(runs)).alias("r")).select("rep", "n", F.explode(F.array(F.xxhash64("r", size), F.xxhash64("r", size + 1))).alias("key"))
-        lists = _counted(keys, "lexiflow-lists")
-        found = found.unionByName(_within(lists.where(F.col("c") <= long_list), num, den))
-        hot = lists.where(F.col("c") > long_list).select("key", "rep", "n")
-        again = written(again.join(written(hot.select("rep").distinct(), "lexiflow-long"), "rep", "left_semi"), "lexiflow-crowded")
-    if hot is None or again.isEmpty():
-        return written(found.select("a", "b").distinct(), "lexiflow-pairs"), None
-    # the least members of each list in hash orders that are the same for all lists
-    least = hot.groupBy("key").agg(F.array(*[F.min(F.struct(F.xxhash64("rep", F.lit(r)).alias("h"), "rep", "n")) for r in range(leaders)]).alias("l"))
-    first = written(least.select("key", F.explode(F.array_distinct(F.transform("l", lambda x: F.struct(x["rep"].alias("other"), x["n"].alias("nb"))))).alias("l")).select("key", "l.*"), "lexiflow-leaders")
-    star = hot.withColumnRenamed("n", "na").join(first, "key").where("rep != other").where(_fits(num, den))
-    found = found.unionByName(star.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"), "na", "nb"))
-    return written(found.select("a", "b").distinct(), "lexiflow-pairs"), hot
+            for part in slices(batch, "s"):
+                sizes = np.array([len(s.as_buffer()) // 8 for s in part.column("s")], dtype=np.int64)
+                flat = np.concatenate([np.frombuffer(s.as_buffer(), dtype=np.int64) for s in part.column("s")])
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(np.repeat(np.arange(len(sizes)), sizes))), pa.array(flat)], names=["rep", "v"])
+
+    flat = written(mapped(sets, values, T.StructType([T.StructField("rep", full.schema["id"].dataType), T.StructField("v", T.LongType())])), "lexiflow-values")
+    counts = written(flat.groupBy("v").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "lexiflow-counts")
+    out = written(flat.join(counts, "v").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("c", "v"))).alias("vs"), F.sum("c").alias("weight")), "lexiflow-ranked")
+    for done in (flat, counts):
+        drop_written(done)
+    return out
+
+
+def led(hot: DataFrame, ranks: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of members of long lists with the leader of their longest list: the one that has the fewest values of its own, and then the
+    commonest others. In a group of near copies that is their middle, with which most are linked."""
+    central = ranks.select("rep", (-F.size("vs")).alias("size"), (-F.col("weight")).alias("weight"))
+    members = hot.join(central, "rep").select("key", "rep", "n", "c", (F.col("n") + F.col("size")).alias("alone"), "weight")
+    longest = hot.groupBy("rep", "n").agg(F.max(F.struct("c", "key"))["key"].alias("key"))
+    leader = written(members.groupBy("key").agg(F.min(F.struct("alone", "weight", "rep", "n")).alias("l")).select("key", F.col("l.rep").alias("other"), F.col("l.n").alias("nb")), "lexiflow-leaders")
+    star = longest.withColumnRenamed("n", "na").join(leader, "key").where("rep != other").where(_fits(num, den))
+    return written(star.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct(), "lexiflow-star")
 
 
 def estimated(pairs: DataFrame, reps: DataFrame, num: int, den: int, k: int) -> DataFrame:
@@ -201,21 +174,43 @@ def estimated(pairs: DataFrame, reps: DataFrame, num: int, den: int, k: int) ->
     sk = reps.select("rep", "sketch")
     both = pairs.join(sk.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a").join(sk.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b")
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
-    share = F.size(F.array_intersect(F.array_intersect(union, F.col("sa")), F.col("sb"))) / F.size(union)
-    t = num / den
-    return written(both.where(share >= t - 4 * sqrt(t * (1 - t) / k)).select("a", "b").distinct(), "lexiflow-candidates")
+    share = F.size(F.array_intersect(F.array_intersect(union, F.col("sa")), F.col("sb")))
+    need = F.when(F.size(union) < k, F.ceil(F.size(union) * num / den)).otherwise(least_shared(k, num, den))
+    return written(both.where(share >= need).select("a", "b").distinct(), "lexiflow-candidates")
+
+
+def apart(hot: DataFrame, near: DataFrame) -> DataFrame:
+    """(rep, n, comp) of the members of lists whose members aren't all connected, with the component of each."""
+    side = near.select(F.col("node").alias("rep"), F.col("component").alias("comp"))
+    placed = written(hot.select("key", "rep", "n").join(side, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "lexiflow-placed")
+    open_ = written(placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key"), "lexiflow-open")
+    out = written(placed.join(open_, "key", "left_semi").select("rep", "n", "comp").distinct(), "lexiflow-members")
+    drop_written(placed)
+    return out
 
 
-def remainder(hot: DataFrame, near: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs within hot lists that the leaders left in different components: each member outside its list's largest component with all others."""
-    placed = hot.join(near.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    placed = written(placed, "lexiflow-placed")
-    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = written(sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key", F.col("m.component").alias("main")), "lexiflow-main")
-    open_ = placed.join(main, "key")
-    left = written(open_.where("component != main").select("key", F.col("rep").alias("r"), F.col("n").alias("na"), F.col("component").alias("ca")), "lexiflow-left")
-    pairs = left.join(open_.select("key", "rep", F.col("n").alias("nb"), F.col("component").alias("cb")), "key").where("ca != cb").where(_fits(num, den))
-    return written(pairs.select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b")).distinct(), "lexiflow-pairs")
+def across(members: DataFrame, ranks: DataFrame, num: int, den: int, parts: int = 8) -> DataFrame:
+    """Pairs (a, b) between members (rep, n, comp) that aren't connected yet: all that can be similar, from their whole sets. Of two sets of sizes x
+    and y the threshold asks for num * (x + y) / (num + den) common values, so the rarest of each, as many that one is among them, are listed for
+    each class of the other's size; where the first common value stands in both orders bounds what they can have in common."""
+    step = _step(num, den, parts)
+    members = members.withColumn("own", F.floor(F.log(F.col("n").cast("double")) / step))
+    all_ = ranks.join(members, "rep")
+    other = F.explode(F.sequence(F.col("own") - parts, F.col("own") + parts)).alias("other")
+    need = lambda size: F.greatest(F.ceil((F.col("n") + size) * num / (num + den)), F.lit(1))
+    least = need(F.floor(F.exp(F.col("other") * step) * (1 - 1e-9)))  # no size of that class is smaller
+    # a class of sizes is a number below parts * log(2**63) / log(den / num), whatever the corpus
+    known = F.broadcast(members.select(F.col("own").alias("other")).distinct())
+    cut = all_.select("rep", "n", "comp", "own", "vs", other).join(known, "other")
+    cut = cut.select("rep", "n", "comp", "own", "other", F.size("vs").alias("m"), F.posexplode(F.slice("vs", 1, F.greatest(F.size("vs") - least + 1, F.lit(0)).cast("int"))).alias("at", "v"))
+    # rest: the value and all that come after it in the order
+    lists = written(cut.select(F.xxhash64("v.v", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "rep", "n", "comp", "own", "other", (F.col("m") - F.col("at")).alias("rest")), "lexiflow-exact")
+    main = lists.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps"))
+    main = written(main.where("comps > 1").select("key", "main"), "lexiflow-main")
+    left = lists.join(main, "key").where("comp != main").select("key", F.col("rep").alias("r"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("own").alias("oa"), F.col("other").alias("ob"), F.col("rest").alias("ra"))
+    right = lists.select("key", "rep", F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("own").alias("ob"), F.col("other").alias("oa"), F.col("rest").alias("rb"))
+    pairs = left.join(right, ["key", "oa", "ob"]).where("ca != cb").where(F.least("ra", "rb") * (num + den) >= (F.col("na") + F.col("nb")) * num).where(_fits(num, den))
+    return written(pairs.select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b")).distinct(), "lexiflow-across")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -250,38 +245,34 @@ def confirmed(full: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFram
     return written(mapped(held.select("a", "b", "x", "y"), hold, pairs.schema).distinct(), "lexiflow-links")
 
 
-def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100, k: int = 48, listed: int = 16, long_list: int = 32) -> DataFrame:
+def link_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100, k: int = 48, long_list: int = 32) -> DataFrame:
     """(id, n, component, kept) for each row: texts are linked whose shingle sets have den * intersection >= num * union."""
     rows = written(sketches(docs, id_col, text_col, width, k), "lexiflow-sketches")
     named = rows.where("digest is not null and id is not null")
     classes = written(named.groupBy("digest").agg(F.min("id").alias("rep")), "lexiflow-classes")
     reps = written(named.join(classes, (named.digest == classes.digest) & (named.id == classes.rep), "left_semi").select(F.col("id").alias("rep"), "n", "sketch"), "lexiflow-reps")
-    found, hot = candidates(reps, num, den, listed, long_list)
+    found, hot = candidates(reps, num, den, k, long_list)
     pairs = estimated(found, reps, num, den, k)
-    first = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "lexiflow-first")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    ids = written((ids.unionByName(hot.select(F.col("rep").alias("id"))) if hot is not None else ids).distinct(), "lexiflow-ids")
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(hot.select(F.col("rep").alias("id"))).distinct(), "lexiflow-ids")
     full = full_sets(docs, ids, id_col, text_col, width)
-    links = confirmed(full, first, num, den)
-    near = written(components(links), "lexiflow-near")
-
-    def apart(rest: DataFrame) -> DataFrame:
-        """Pairs whose ends aren't connected yet."""
-        side = lambda c: near.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
-        return rest.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    ranks = ranked(hot, full)
+    near = written(components(confirmed(full, pairs.unionByName(led(hot, ranks, num, den)).distinct(), num, den)), "lexiflow-near")
 
-    def with_links(rest: DataFrame) -> None:
-        nonlocal links, near
-        if rest.isEmpty():
+    def with_links(more: DataFrame) -> None:
+        nonlocal near
+        if more.isEmpty() or (new := confirmed(full, more, num, den)).isEmpty():
             return
-        more = confirmed(full, rest, num, den)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            near = written(components(links), "lexiflow-near")
-
-    with_links(written(apart(pairs.join(first, ["a", "b"], "left_anti")), "lexiflow-rest"))
-    if hot is not None:
-        with_links(estimated(remainder(hot, near, num, den), reps, num, den, k))
+        # links between components; these are far fewer than the nodes
+        ends = near.select("node", "component")
+        new = new.join(ends.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left").join(ends.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left")
+        joined = written(components(new.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))), "lexiflow-joined")
+        known = ends.unionByName(joined.join(ends.select("node"), "node", "left_anti").select("node", F.col("node").alias("component")))
+        moved = joined.select(F.col("node").alias("component"), F.col("component").alias("to"))
+        near = written(known.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "lexiflow-near")
+
+    with_links(across(apart(hot, near), ranks, num, den))
+    for done in (full, ranks):
+        drop_written(done)
     place = written(classes.join(near, classes.rep == near.node, "left").select("digest", F.coalesce("component", "rep").alias("component")), "lexiflow-place")
     out = rows.select("id", "n", "digest").join(place, "digest", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -37,22 +38,50 @@ def test_families_of_short_texts_as_brute_force(spark, width, num, den):
 
 
 @pytest.mark.parametrize(("num", "den"), [(85, 100), (80, 100), (90, 100)])
-def test_small_sets_share_a_run_or_a_core(num, den):
+def test_similar_sets_share_a_prefix_value(num, den):
     rng = np.random.default_rng(num)
-    whole = minhash.small_union(num, den, 48)
+    least = minhash.least_shared(48, num, den)
     for _ in range(4000):
-        union = np.sort(rng.choice(10**9, rng.integers(2, 40), replace=False)).astype(np.int64)
-        differ = rng.permutation(len(union))[: len(union) - -(-len(union) * num // den)]
+        union = rng.permutation(10**6)[: rng.integers(2, 300)]
+        differ = union[: len(union) - -(-len(union) * num // den)]
         to_a = rng.random(len(differ)) < 0.5
-        a, b = np.delete(union, differ[to_a]), np.delete(union, differ[~to_a])
-        if len(a) == len(b) == len(union):
-            continue
-        if len(union) <= whole:
-            lists = [{int(k): (g, e) for keys, g, e in minhash.cores(s, num, den) for k in keys} for s in (a, b)]
-            assert any(x[0] + lists[1][k][0] <= x[1] for k, x in lists[0].items() if k in lists[1])
-        else:
-            runs = [{tuple(s[i : i + 4]) for i in range(len(s) - 3)} for s in (a, b)]
-            assert runs[0] & runs[1]
+        a, b = (set(union.tolist()) - set(x.tolist()) for x in (differ[~to_a], differ[to_a]))
+        order = {v: rng.random() for v in a | b}
+        first = []
+        for s in (a, b):
+            kept = sorted(s)[:48]
+            need = min(-(-len(s) * num // den), least)
+            first.append(set(sorted(kept, key=order.get)[: len(kept) - need + 1]))
+        assert first[0] & first[1]
+
+
+def test_dense_group_in_several_components(spark):
+    """Near copies of one text at distances about the threshold: some linked with its middle, some only with each other, most pairs just not similar."""
+    rng = random.Random(11)
+    base = prose(rng, 120).split()
+    docs = {}
+    for i in range(260):
+        words = list(base)
+        spots = rng.sample(range(0, 120, 4), rng.choice((1, 2, 3, 4, 5)))
+        for p in spots:
+            words[p] = f"n{rng.randrange(10**9)}"
+        docs[i] = " ".join(words)
+        if i % 9 == 0:  # a copy of a far copy
+            words[rng.randrange(120)] = "again"
+            docs[1000 + i] = " ".join(words)
+    want = near(docs, 3, 85, 100)
+    assert len({c for _, c in want.values()}) > 3
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    assert {r.id: (r.n, r.component) for r in minhash.link_near(frame, width=3, num=85, den=100, long_list=8).collect()} == want
+
+
+def test_all_links_of_a_driver_table(spark, width=3, num=85, den=100):
+    folder = Path("/root/testdata/sf0.01/documents.parquet")
+    if not folder.exists():
+        pytest.skip("no driver tables here")
+    frame = spark.read.parquet(str(folder)).select("doc_id", "text")
+    want = near(dict(frame.collect()), width, num, den)
+    assert {r.id: (r.n, r.component) for r in minhash.link_near(frame, width=width, num=num, den=den).collect()} == want
 
 
 def test_kept_rows_keep_columns_and_one_of_each_group(frame, texts):
