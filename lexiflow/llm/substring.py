@@ -16,15 +16,20 @@ Indexing each text against every other shard would cost the square of the corpus
 in proportion to it.
 
 Defined cases: a null or empty text has no words; rows are ordered by id, null ids first, and rows of one id by a hash of their text; rows
-equal in both count as one text and get the same result; an empty table gives an empty result. Ids are whole numbers.
+equal in both count as one text and get the same result; ids may be of any type that has an order; an empty table gives an empty result;
+very long texts are read in blocks, and their words' hashes held; other columns are never read, whatever their names.
+
+Words are compared by 40 bits of their hashes (`TOKEN`): two windows that differ in a single word pass for equal with a probability of 2**-40.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +40,7 @@ from .fm_index import FMIndex
 from .words import mix, ngram_hashes, slices, valid_starts, words
 
 TOKEN = 5  # bytes of a word's hash that segments carry; digests have all of them
+PARTS = 3  # of the segments, by digest
 P1, P2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 
 
@@ -109,13 +115,12 @@ def _search(window: int):
     def run(group: pa.Table) -> pa.Table:
         blobs = group.column("tokens").to_pylist()
         n = np.array([len(b) // TOKEN for b in blobs], dtype=np.int64)
-        ids, th, begin = (group.column(c) for c in ("id", "th", "start"))
-        no_id = np.array(ids.is_null())
-        id_, th_, start = np.array(ids.fill_null(0)), np.array(th), np.array(begin)
-        order = np.lexsort((th_, id_, ~no_id))
+        ids, th, start = group.column("id"), group.column("th"), np.array(group.column("start"))
+        order = np.array(pc.sort_indices(pa.table({"id": ids, "th": th}), sort_keys=[("id", "ascending"), ("th", "ascending")], null_placement="at_start"))
+        name = np.array(ids.combine_chunks().dictionary_encode(null_encoding="encode").indices)[order]
+        th_ = np.array(th)[order]
         rank = np.empty(len(order), dtype=np.int64)
-        differ = np.concatenate([[0], ((np.diff(th_[order]) != 0) | (np.diff(id_[order]) != 0) | (np.diff(no_id[order].astype(int)) != 0)).astype(np.int64)])
-        rank[order] = np.cumsum(differ)
+        rank[order] = np.cumsum(np.concatenate([[0], ((np.diff(th_) != 0) | (np.diff(name) != 0)).astype(np.int64)]))
         flat = np.zeros((int(n.sum()), 8), dtype=np.uint8)
         flat[:, :TOKEN] = np.frombuffer(b"".join(blobs), dtype=np.uint8).reshape(-1, TOKEN)
         blobs.clear()
@@ -156,7 +161,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     """(id, th, a, b): ranges of words that repeated windows cover. th is the text's hash."""
     ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    id_type = docs.schema[id_col].dataType.simpleString()
 
     def list_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +173,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                 offs = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("th"), pa.ListArray.from_arrays(pa.array(offs), pa.array(least[begin].view(np.int64)))], names=["id", "th", "anchors"])
 
-    listed = mapped(source, list_anchors, "id long, th long, anchors array<long>")
+    listed = mapped(source, list_anchors, f"id {id_type}, th long, anchors array<long>")
     spread = written(listed.select("id", "th", F.explode("anchors").alias("anchor")), "lexiflow-anchors")
     twice = written(spread.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", (F.col("n") > hot).alias("many")), "lexiflow-repeated")
     mine = spread.join(twice, "anchor").groupBy("id", "th").agg(F.collect_set(F.when(~F.col("many"), F.col("anchor"))).alias("few"), F.collect_set(F.when(F.col("many"), F.col("anchor"))).alias("many"))
@@ -210,19 +216,27 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                 yield pa.RecordBatch.from_arrays([part.column("id").take(take), part.column("th").take(take), pa.array(a - first[doc]), pa.array(b - a), pa.array(route), pa.array(keys, pa.binary()), tokens], names=["id", "th", "start", "n", "route", "digest", "tokens"])
 
     # stands of all segments, with their words
-    stands = written(mapped(again, cut, "id long, th long, start long, n long, route long, digest binary, tokens binary"), "lexiflow-stands")
+    stands = written(mapped(again, cut, f"id {id_type}, th long, start long, n long, route long, digest binary, tokens binary"), "lexiflow-stands")
     drop_written(mine)
     release(docs.sparkSession)
     where = F.struct(F.col("id").isNotNull().alias("has"), "id", "th", "start")
-    firsts = written(stands.groupBy("digest", "route", "n").agg(F.min(where).alias("f"), F.max("tokens").alias("tokens")).select("digest", "route", "n", "f.id", "f.th", "f.start", "tokens"), "lexiflow-segments")
-    release(docs.sparkSession)
-    later = stands.select("id", "th", "start", "n", "digest").join(firsts.select("digest", F.col("id").alias("fid"), F.col("th").alias("fth"), F.col("start").alias("fstart")), "digest")
+    # in parts, one after another, as each shuffles its words; the places without the words are kept for the later copies
+    part = F.pmod(F.xxhash64("digest"), F.lit(PARTS))
+    places = written(stands.drop("tokens", "route"), "lexiflow-places")
+    done = []
+    for p in range(PARTS):
+        own = stands.where(part == p).groupBy("digest", "route", "n").agg(F.min(where).alias("f"), F.max("tokens").alias("tokens"))
+        done.append(written(own.select("digest", "route", "n", "f.id", "f.th", "f.start", "tokens"), "lexiflow-segments"))
+        release(docs.sparkSession)
+    drop_written(stands)
+    firsts = reduce(DataFrame.unionByName, done)
+    later = places.join(firsts.select("digest", F.col("id").alias("fid"), F.col("th").alias("fth"), F.col("start").alias("fstart")), "digest")
     later = later.where(~(F.col("id").eqNullSafe(F.col("fid")) & (F.col("th") == F.col("fth")) & (F.col("start") == F.col("fstart"))))
     total = firsts.agg(F.sum("n")).first()[0] or 0
     shards = max(32, -(-total // shard_words))
-    found = firsts.select("id", "th", "start", "tokens", F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).groupBy("shard").applyInArrow(_search(window), "id long, th long, a long, b long")
+    found = firsts.select("id", "th", "start", "tokens", F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).groupBy("shard").applyInArrow(_search(window), f"id {id_type}, th long, a long, b long")
     out = written(later.select("id", "th", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b")).unionByName(found), "lexiflow-repeats")
-    drop_written(stands)
+    drop_written(places)
     drop_written(firsts)
     release(docs.sparkSession)
     return out
@@ -237,7 +251,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     drop_written(found)
     release(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    joined = source.join(runs, F.col("id").cast("long").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select("id", "text", "runs")
+    joined = source.join(runs, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select("id", "text", "runs")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -31,3 +31,11 @@ def test_matching_statistics():
     for end, n in zip(range(6, 301), length.tolist(), strict=True):
         best = max(k for k in range(7) if k == 0 or sum(s.startswith(s[end - k : end], x) for x in range(len(s))) > 1)
         assert n == best
+
+
+def test_ids_of_any_ordered_type(spark):
+    passage = " ".join(f"w{i}" for i in range(30))
+    docs = {"b": f"x1 {passage} y1", "a": f"{passage} z2 z3", "10": "alone " * 5, "9": f"q {passage}"}
+    df = spark.createDataFrame(list(docs.items()), "name string, body string")
+    got = {r.id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.kept_digest(substring.remove_repeats(df, "name", "body")).collect()}
+    assert got == repeats(docs)
