@@ -7,16 +7,17 @@ vectors and ridge weights fold into one matrix (n-grams x languages), and a bloc
 of its presence matrix with it.
 
 Learning reads a sample with a bound for each language in rows (`per_lang`) and in bytes (`most_bytes` for each of them); scoring reads
-every whole text. Model size is bounded by `most_grams` and `most_langs` (more languages are an error), so it is broadcast.
+every whole text. The model has every n-gram of the landmarks, whose number and bytes are bounded, and of at most `most_langs` languages (more
+are an error), so it is broadcast; n-grams that no landmark has count in no kernel with a landmark, but for the root of a text's own count, which
+is taken over the landmarks' n-grams.
 
 Defined cases: a null text, an empty one and one without a letter get `und` with score 0; with no labelled row at all every
-text gets `und`; rows with a null language aren't learned from; repeated rows get the same prediction; all other columns of
+text gets `und`; a letter is what Unicode calls one (not ½ or ²); of languages with equal scores the first by name is taken; rows with a null language aren't learned from; repeated rows get the same prediction; all other columns of
 the input are left alone. A table with a single language predicts it with score 1.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,15 +29,14 @@ from pyspark.sql import functions as F
 from .common import mapped
 from .words import slices, text_buffer
 
-LETTER = re.compile(r"[^\W\d_]")
-CLASSES = 128  # byte classes in a code; class 0 is every byte that the landmarks lack
 UNKNOWN = "und"
+BLOCK = 1 << 24  # entries of a presence matrix that is held at once
 
 
 @dataclass
 class Model:
     langs: list[str]
-    byte_class: np.ndarray  # 256 -> class below CLASSES
+    byte_class: np.ndarray  # 256 -> class; class 0 is every byte that the landmarks lack
     tables: list[np.ndarray]  # for n = 1, 2, 3: code -> column, 0 where the landmarks lack it
     weights: np.ndarray  # columns x languages, row 0 unused
     bias: np.ndarray
@@ -48,20 +48,23 @@ def _classes(texts: list[bytes]) -> np.ndarray:
     counts = np.zeros(256, dtype=np.int64)
     for t in texts:
         counts += np.bincount(fold[np.frombuffer(t, dtype=np.uint8)], minlength=256)
-    best = np.argsort(-counts, kind="stable")[: CLASSES - 1]
-    best = best[counts[best] > 0]
+    best = np.flatnonzero(counts)
     out = np.zeros(256, dtype=np.int32)
     out[best] = np.arange(1, len(best) + 1)
     return out[fold]
 
 
-def _codes(cls: np.ndarray, fresh: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _codes_of(byte_class: np.ndarray) -> int:
+    return int(byte_class.max()) + 1
+
+
+def _codes(cls: np.ndarray, fresh: np.ndarray, n: int, classes: int) -> tuple[np.ndarray, np.ndarray]:
     """Code of each n-gram that stays in a text, and the position of its last byte. fresh: where texts start."""
     if len(cls) < n:
         return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
     code = cls[n - 1 :].copy()
     for k in range(1, n):
-        code += cls[n - 1 - k : len(cls) - k] * np.int32(CLASSES**k)
+        code += cls[n - 1 - k : len(cls) - k] * np.int32(classes**k)
     ok = np.ones(len(code), dtype=bool)
     for k in range(1, n):
         ok &= ~fresh[k : k + len(code)]
@@ -74,7 +77,7 @@ def _codes(cls: np.ndarray, fresh: np.ndarray, n: int) -> tuple[np.ndarray, np.n
 def presence(buf: np.ndarray, offs: np.ndarray, byte_class: np.ndarray, tables: list[np.ndarray], width: int) -> np.ndarray:
     """Texts x columns, 1 where the text has the n-gram. Long texts are read in pieces that overlap."""
     flags = np.zeros((len(offs) - 1, width), dtype=np.float32)
-    step = 1 << 20
+    step, classes = 1 << 20, _codes_of(byte_class)
     flat = flags.reshape(-1)
     for a in range(0, len(buf), step):
         lo = max(0, a - 2)
@@ -87,7 +90,7 @@ def presence(buf: np.ndarray, offs: np.ndarray, byte_class: np.ndarray, tables:
         edges = np.clip(offs[k.start : k.stop + 1] - lo, 0, len(part))
         doc = np.repeat(np.arange(k.start, k.start + len(edges) - 1), np.diff(edges))
         for n, table in enumerate(tables, 1):
-            code, at = _codes(part, fresh, n)
+            code, at = _codes(part, fresh, n, classes)
             col = table[code]
             flat[doc[at] * width + col] = 1
     flags[:, 0] = 0
@@ -98,7 +101,7 @@ def _pack(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
 
 
-def fit(texts: list[bytes], langs: list[str], landmarks: int = 256, ridge: float = 0.1, most_grams: int = 12_000, seed: int = 7) -> Model | None:
+def fit(texts: list[bytes], langs: list[str], landmarks: int = 256, ridge: float = 0.1, seed: int = 7) -> Model | None:
     """Learns from a bounded sample of labelled texts."""
     rows = [(t, g) for t, g in zip(texts, langs, strict=True) if t and g is not None]
     if not rows:
@@ -109,34 +112,32 @@ def fit(texts: list[bytes], langs: list[str], landmarks: int = 256, ridge: float
     per = max(1, landmarks // len(names))
     marks = sorted(int(i) for own in by for i in rng.permutation(own)[:per])
     byte_class = _classes([texts[i] for i in marks])
-    # columns: the n-grams that the most landmarks have, all of them if there are few
+    # columns: the n-grams of the landmarks
     buf, offs = _pack([texts[i] for i in marks])
-    counts = []
+    classes, tables, width = _codes_of(byte_class), [], 1
     for n in (1, 2, 3):
-        have = np.zeros(CLASSES**n, dtype=np.int32)
+        have = np.zeros(classes**n, dtype=bool)
         for a, b in zip(offs[:-1], offs[1:], strict=True):
             part = byte_class[buf[a:b]]
-            fresh = np.zeros(len(part), dtype=bool)
-            have[np.unique(_codes(part, fresh, n)[0])] += 1
-        counts.append(have)
-    joined = np.concatenate(counts)
-    order = np.argsort(-joined, kind="stable")[:most_grams]
-    order = np.sort(order[joined[order] > 0])
-    tables, base, width = [], 0, len(order) + 1
-    for n in (1, 2, 3):
-        table = np.zeros(CLASSES**n, dtype=np.int32)
-        own = (order >= base) & (order < base + CLASSES**n)
-        table[order[own] - base] = np.flatnonzero(own) + 1
+            have[_codes(part, np.zeros(len(part), dtype=bool), n, classes)[0]] = True
+        table = np.zeros(classes**n, dtype=np.int32)
+        own = np.flatnonzero(have)
+        table[own] = np.arange(width, width + len(own))
         tables.append(table)
-        base += CLASSES**n
-    buf, offs = _pack(texts)
-    x = presence(buf, offs, byte_class, tables, width)
-    x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
-    mark = x[marks]
+        width += len(own)
+
+    def normed(some: list[bytes]) -> np.ndarray:
+        x = presence(*_pack(some), byte_class, tables, width)
+        x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+        return x
+
+    mark = normed([texts[i] for i in marks])
+    rows_at_once = max(1, BLOCK // width)
     k_mm = (mark @ mark.T).astype(np.float64)
     val, vec = np.linalg.eigh(k_mm + 1e-6 * np.eye(len(marks)))
     root = vec / np.sqrt(np.maximum(val, 1e-8))  # Nystrom features: k(x, marks) @ root
-    z = (x @ mark.T).astype(np.float64) @ root
+    kernel = [normed(texts[a : a + rows_at_once]) @ mark.T for a in range(0, len(texts), rows_at_once)]
+    z = np.concatenate(kernel).astype(np.float64) @ root
     y = np.where(np.array([g for _, g in rows])[:, None] == np.array(names)[None, :], 1.0, -1.0)
     # each language weighs the same
     w = 1.0 / np.array([len(own) for own in by])[np.searchsorted(names, [g for _, g in rows])]
@@ -163,7 +164,7 @@ def score_block(buf: np.ndarray, offs: np.ndarray, model: Model) -> tuple[list[s
     seen = np.concatenate([[0], np.cumsum(ascii_letter[buf])])
     has = seen[offs[1:]] > seen[offs[:-1]]
     for i in np.flatnonzero(~has):
-        has[i] = bool(LETTER.search(buf[offs[i] : offs[i + 1]].tobytes().decode("utf-8", "replace")))
+        has[i] = any(map(str.isalpha, buf[offs[i] : offs[i + 1]].tobytes().decode("utf-8", "replace")))
     return [model.langs[b] if ok else UNKNOWN for b, ok in zip(best, has, strict=True)], np.where(has, score, 0.0)
 
 
@@ -199,7 +200,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", block_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for part in slices(batch, text_col, most_rows=block_rows):
+            for part in slices(batch, text_col, most_rows=max(1, min(block_rows, BLOCK // len(m.weights)))):
                 langs, score = score_block(*text_buffer(part.column(text_col)), m)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
 

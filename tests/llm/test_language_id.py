@@ -44,10 +44,45 @@ def test_folded_matrix_is_the_kernel_machine():
             for k in range(len(cls) - n + 1):
                 g = cls[k : k + n]
                 if (g > 0).all():
-                    own.add(int(model.tables[n - 1][sum(int(c) * language_id.CLASSES ** (n - 1 - j) for j, c in enumerate(g))]))
+                    own.add(int(model.tables[n - 1][sum(int(c) * (int(model.byte_class.max()) + 1) ** (n - 1 - j) for j, c in enumerate(g))]))
         assert set(np.flatnonzero(row).tolist()) == own - {0}
 
 
+def test_scores_equal_plain_kernel_ridge():
+    """Kernels from sets of n-grams and ridge regression in dual form, with every labelled text a landmark."""
+    rows = corpus(4, 45)
+    texts, langs = [t.encode() for _, t, _ in rows], [g for _, _, g in rows]
+    model = language_id.fit(texts, langs, landmarks=10**6)
+    names = sorted(set(langs))
+    fold = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    grams = lambda t: {t.translate(fold)[k : k + n] for n in (1, 2, 3) for k in range(len(t) - n + 1)}
+    known = set().union(*map(grams, texts))
+    own = [grams(t) for t in texts]
+    kernel = lambda s: [len(s & m) / (len(s & known) * len(m)) ** 0.5 if s & known else 0.0 for m in own]
+    k = np.array([kernel(s) for s in own])
+    w = np.array([1 / langs.count(g) for g in langs])
+    w *= len(w) / w.sum()
+    y = np.array([[1.0 if g == name else -1.0 for name in names] for g in langs])
+    ones = np.ones((len(k), 1))
+    left = np.block([[k.T @ (k * w[:, None]) + 0.1 * (k + 1e-6 * np.eye(len(k))), k.T @ (w[:, None] * ones)], [ones.T @ (k * w[:, None]), np.array([[w.sum() + 1e-9]])]])
+    right = np.vstack([k.T @ (y * w[:, None]), (ones * w[:, None]).T @ y])
+    solved = np.linalg.lstsq(left, right, rcond=None)[0]
+    new = [t for _, t, _ in corpus(5, 40)] + ["ANER", "漢 an", "zz"]
+    f = np.array([kernel(grams(t.encode())) for t in new]) @ solved[:-1] + solved[-1]
+    p = np.exp(4 * (f - f.max(1, keepdims=True)))
+    p /= p.sum(1, keepdims=True)
+    got, score = language_id.score_block(*text_buffer(pa.array(new)), model)
+    assert got == [names[i] for i in p.argmax(1)]
+    np.testing.assert_allclose(score, p.max(1), atol=2e-3)
+
+
+def test_a_letter_is_what_unicode_calls_one():
+    texts = [t.encode() for _, t, _ in corpus(3, 30)]
+    model = language_id.fit(texts, [g for _, _, g in corpus(3, 30)])
+    got, score = language_id.score_block(*text_buffer(pa.array(["½", "² 12", "_", "é", "漢"])), model)
+    assert [g == "und" for g in got] == [True, True, True, False, False] and score[0] == score[1] == 0
+
+
 def test_long_texts_are_read_whole():
     texts = [t.encode() for _, t, _ in corpus(3, 30)]
     model = language_id.fit(texts, [g for _, _, g in corpus(3, 30)])
