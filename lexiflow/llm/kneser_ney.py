@@ -31,6 +31,7 @@ from .common import mapped, release, scratch, written
 from .words import mix, slices, words
 
 END, BEGIN = np.uint64(0xE5A1F3C2D4B69788), np.uint64(0xB1C6E2F4A9D37851)
+WHOLE = "whole"  # stands in a folder once all of the model is there
 ROWS = "kind string, shard int, cols binary, vals binary"
 
 
@@ -57,6 +58,11 @@ def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Counts in four bytes, or in eight where one doesn't fit."""
+    return x.astype(np.uint32 if not x.size or x.max() < 1 << 32 else np.uint64)
+
+
 def _sent(kind: str, key: np.ndarray, cols: list[np.ndarray], vals: list[np.ndarray], shards: int) -> list[tuple[str, int, bytes, bytes]]:
     """Rows for the shards; key ascends. Within a row, n-grams stand by their first word, whose repeats then compress away."""
     at = np.searchsorted(shard_of(key, shards), np.arange(shards + 1))
@@ -64,7 +70,7 @@ def _sent(kind: str, key: np.ndarray, cols: list[np.ndarray], vals: list[np.ndar
     for s, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
         if b > a:
             order = np.argsort(cols[0][a:b], kind="stable")
-            out.append((kind, s, b"".join(c[a:b][order].tobytes() for c in cols), b"".join(v[a:b][order].astype(np.uint32).tobytes() for v in vals)))
+            out.append((kind, s, b"".join(c[a:b][order].tobytes() for c in cols), _narrow(np.stack([v[a:b][order] for v in vals])).tobytes()))
     return out
 
 
@@ -100,7 +106,7 @@ def _unpacked(blobs: list[tuple[bytes, bytes]], n_cols: int, n_vals: int) -> tup
         m = len(c) // 8 // n_cols
         for x, part in zip(cols, np.frombuffer(c, dtype=np.uint64).reshape(n_cols, m), strict=True):
             x.append(part)
-        for x, part in zip(vals, np.frombuffer(v, dtype=np.uint32).reshape(n_vals, m), strict=True):
+        for x, part in zip(vals, np.frombuffer(v, dtype=np.uint64 if len(v) == 8 * n_vals * m else np.uint32).reshape(n_vals, m), strict=True):
             x.append(part)
     return [np.concatenate(x) for x in cols], [np.concatenate(x).astype(np.int64) for x in vals]
 
@@ -124,7 +130,7 @@ def _level(folder: str, order: int, k: int, shards: int):
         once = c == 1  # most n-grams; their hashes alone are kept
         _put(folder, f"gram{k}-{shard}-once", key[once])
         _put(folder, f"gram{k}-{shard}-keys", key[~once])
-        _put(folder, f"gram{k}-{shard}-vals", c[~once].astype(np.uint32))
+        _put(folder, f"gram{k}-{shard}-vals", _narrow(c[~once]))
         rows = []
         seen = [(c == 1).astype(np.int64), (c == 2).astype(np.int64), (c > 2).astype(np.int64)]
         ctx, _, sums = added(key_of(cols[:-1]), [], [c, *seen])
@@ -155,7 +161,7 @@ def _last(folder: str):
         cols, vals = _unpacked(list(zip(group.column("cols").to_pylist(), group.column("vals").to_pylist(), strict=True)), 1, n_vals)
         key, _, sums = added(cols[0], [], vals)
         _put(folder, f"{kind}-{shard}-keys", key)
-        _put(folder, f"{kind}-{shard}-vals", np.stack(sums, axis=1).astype(np.uint32))
+        _put(folder, f"{kind}-{shard}-vals", _narrow(np.stack(sums, axis=1)))
         rows = []
         if kind == "uni":
             n = sums[0]
@@ -220,6 +226,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2, model_dir: st
         v = np.frombuffer(r[1], dtype=np.int64)
         stats[r[0]] = stats.get(r[0], 0) + v
     one = stats.get("stat1", np.zeros(8, dtype=np.int64))
+    open(f"{folder}/{WHOLE}", "w").close()
     return {"folder": folder, "order": order, "shards": shards, "tokens": int(one[6]), "distinct": int(one[7]), "pairs": int(one[4]), "unigram": [int(one[0]), int(one[1]), int(one[5])], "discounts": {k: discounts(*(int(x) for x in stats.get(f"stat{k}", np.zeros(4))[:4])) for k in range(1, order + 1)}}
 
 
@@ -234,6 +241,8 @@ class Scorer:
     """The model in a worker: maps a shard's files when it is first looked into."""
 
     def __init__(self, model: dict):
+        if not os.path.exists(f"{model['folder']}/{WHOLE}"):
+            raise FileNotFoundError(f"no model in {model['folder']}; is the folder mounted here?")
         self.model, self.open = model, {}
 
     def find(self, kind: str, keys: np.ndarray, width: int) -> np.ndarray:

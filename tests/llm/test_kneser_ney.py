@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,3 +41,13 @@ def test_query_scores_with_two_words_of_context(spark):
     want = plain(docs, lambda i: fold(i, 10) != 0, 3)
     got = {r.doc_id: r.score for r in queries.op4_kneser_ney(spark, folder).collect()}
     assert got == pytest.approx(want, rel=1e-6)
+
+
+def test_counts_beyond_four_bytes_and_a_folder_that_is_not_there():
+    big = np.array([(1 << 32) + 5, 1], dtype=np.int64)
+    key = np.array([3, 1 << 40], dtype=np.uint64)
+    rows = kneser_ney._sent("x", key, [key], [big, big], 1)
+    cols, vals = kneser_ney._unpacked([(c, v) for _, _, c, v in rows], 1, 2)
+    assert cols[0].tolist() == key.tolist() and [v.tolist() for v in vals] == [big.tolist()] * 2
+    with pytest.raises(FileNotFoundError):
+        kneser_ney.Scorer({"folder": "/nowhere"})
