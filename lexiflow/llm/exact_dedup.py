@@ -8,7 +8,7 @@ with those of the row that stays; where a digest hides different texts, its rows
 Defined cases: a null text counts as empty; a null id is smaller than any other; rows with equal text and equal id are all
 marked as kept (`kept_rows` leaves one of them); an empty table gives an empty result; columns that aren't named are left alone.
 
-Scale: texts aren't shuffled but for the hit groups' byte check; state and result have a fixed width. Counting a hot group
+Scale: all texts are shuffled once by their digests, for the hit groups' byte check; state and result have a fixed width. Counting a hot group
 is done before the shuffle (partial aggregation); the joins on the digest have one row a key on one side, so that
 adaptive execution splits a hot key's rows.
 """
@@ -112,9 +112,10 @@ def link_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without copies: of equal texts, the row with the largest id. All columns stay."""
-    linked = written(link_copies(docs, id_col, text_col).where("kept").select(F.col("id").alias("_id"), F.col("digest").alias("_digest")), "lexiflow-kept")
-    out = docs.withColumn("_digest", sha256(_normal(text_col)))
-    out = out.join(linked.distinct(), out[id_col].eqNullSafe(linked["_id"]) & (out["_digest"] == linked["_digest"]), "left_semi")
-    if not linked.groupBy("_id", "_digest").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates([id_col, "_digest"])
-    return out.drop("_digest")
+    own, other = (next(n for n in (f"_{c}{i or ''}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for c in ("digest", "id"))
+    linked = written(link_copies(docs, id_col, text_col).where("kept").select(F.col("id").alias(other), F.col("digest").alias(own)), "lexiflow-kept")
+    out = docs.withColumn(own, sha256(_normal(text_col)))
+    out = out.join(linked.distinct(), out[id_col].eqNullSafe(linked[other]) & (out[own] == linked[own]), "left_semi")
+    if not linked.groupBy(other, own).count().where("count > 1").isEmpty():
+        out = out.dropDuplicates([id_col, own])
+    return out.drop(own)

@@ -36,3 +36,9 @@ def test_kept_rows_nulls_repeats_and_no_rows(spark, no_rows):
     out = exact_dedup.kept_rows(df)
     assert out.columns == df.columns
     assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, "b"), (2, "a"), (4, "")]
+
+
+def test_kept_rows_keep_columns_named_like_ours(spark):
+    df = spark.createDataFrame([(1, "a", "x", "p"), (2, "a", "y", "q"), (3, "b", "z", "r")], "doc_id long, text string, _digest string, _id string")
+    out = exact_dedup.kept_rows(df)
+    assert out.columns == df.columns and sorted(map(tuple, out.collect())) == [(2, "a", "y", "q"), (3, "b", "z", "r")]
