@@ -15,6 +15,8 @@ def shared_dir(spark: SparkSession) -> str:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isDefined():
             place = known.get()
+        elif not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         else:
             place = "file://" + tempfile.mkdtemp(prefix="lexiflow-shared-")
             spark.sparkContext.setCheckpointDir(place)
