@@ -1,22 +1,30 @@
 """Interpolated modified Kneser-Ney n-gram model: counted in Spark, kept as sorted hash arrays, memory-mapped by the workers.
 
-Tokens are words (ASCII letters folded) and one end token a text; texts start after a begin token that is never predicted. Workers count the
-n-grams of what they read and send them, by the n-gram's hash, to shards; a shard's task adds the counts up, writes a
-sorted array of 64-bit hashes with the counts beside it, and hands on what the next lower order needs: the distinct left
+Tokens are words (ASCII letters folded) and one end token a text; texts start after a begin token that is never predicted. The texts
+are read once for each of `parts` parts; a pass counts the n-grams whose last word but one has its hash in the part. The contexts and
+suffixes of an n-gram are in its part, so all but the sums of single words is settled in the pass, and only a part is shuffled at a time.
+
+In a pass, workers count the n-grams of what they read and send them, by the n-gram's hash, to shards; a shard's task adds the counts
+up, writes a sorted array of hashes with the counts beside it, and hands on what the next lower order needs: the distinct left
 neighbours of each suffix, and for each context the sum and the numbers of n-grams seen once, twice and more often.
-Shards are ranges of evenly spread hashes whose number grows with the text, so a very common word is no hot shard.
+Shards are ranges of evenly spread hashes whose number grows with the text, so a very common word or pair is no hot shard.
+
+A shard keeps 40 bits of a hash. As a shard's size is fixed, an n-gram that was never seen is taken for another with a probability of
+about 2e-6 (two million n-grams a shard), however large the corpus is; on small tables the probability is nil.
 
 The files stand in the shared folder (a mounted path; `model_dir` names another), each written beside and renamed, so a task that
-runs again leaves the same. Workers map the files that they look into, and score whole texts from them.
+runs again leaves the same. Workers map the files that they look into, 1,000 at most at a time, and score whole texts from them.
 
-Defined cases: a null or empty text is an end token alone; rows that repeat are counted as often; a null id is the empty text for
-the fold; with nothing to learn from, every token is unknown with probability 1 and all scores are 0.
+Defined cases: a null or empty text is an end token alone; a very long text is counted and scored in blocks of its words' hashes, whole;
+rows that repeat are counted as often; a null id is the empty text for the fold; columns of any other name are not read; with nothing to
+learn from, every token is unknown with probability 1 and all scores are 0.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -27,12 +35,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship
-from .common import mapped, release, scratch, written
+from .common import drop_written, mapped, release, scratch, written
 from .words import mix, slices, words
 
 END, BEGIN = np.uint64(0xE5A1F3C2D4B69788), np.uint64(0xB1C6E2F4A9D37851)
 WHOLE = "whole"  # stands in a folder once all of the model is there
-ROWS = "kind string, shard int, cols binary, vals binary"
+ROWS = "kind string, part int, shard int, body binary, stat array<bigint>"
+LOW = np.uint64((1 << 40) - 1)
+CODEC = "zstd"
+MOST_OPEN = 1000
 
 
 def key_of(cols: list[np.ndarray]) -> np.ndarray:
@@ -58,25 +69,133 @@ def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def _narrow(x: np.ndarray) -> np.ndarray:
-    """Counts in four bytes, or in eight where one doesn't fit."""
-    return x.astype(np.uint32 if not x.size or x.max() < 1 << 32 else np.uint64)
+def part_of(word: np.ndarray, parts: int) -> np.ndarray:
+    return ((word & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _padded(*arrays: np.ndarray) -> bytes:
+    """Arrays one after another, each from a multiple of eight bytes on."""
+    return b"".join(x.tobytes() + b"\0" * (-x.nbytes % 8) for x in arrays)
+
+
+def _least(n: int) -> np.dtype:
+    """The narrowest type for numbers below n."""
+    return np.min_scalar_type(max(n - 1, 0))
+
+
+def packed(key: np.ndarray, vals: list[np.ndarray]) -> bytes:
+    """Ascending keys of one shard and their values: first the rows with the commonest values, as keys alone, then those whose values
+    all are below 256, with a code for them, then the others, with their values."""
+    key, width = key & LOW, len(vals)
+    code = np.zeros(len(key), dtype=np.int64)
+    small = np.ones(len(key), dtype=bool)
+    for i, v in enumerate(vals):
+        code |= np.minimum(v, 255) << (8 * i)
+        small &= v < 256
+    kinds, times = np.unique(code[small], return_counts=True)
+    common = kinds[np.argmax(times)] if len(kinds) else -1
+    kinds = kinds[kinds != common]
+    runs = [np.flatnonzero(small & (code == common)), np.flatnonzero(small & (code != common)), np.flatnonzero(~small)]
+    runs = [r[np.argsort(key[r], kind="stable")] for r in runs]
+    known = np.concatenate([[max(common, 0)], kinds])
+    table = np.stack([known >> (8 * i) & 255 for i in range(width)], axis=1).astype(np.int64)
+    order = np.concatenate(runs)
+    codes = np.searchsorted(kinds, code[runs[1]]).astype(_least(len(kinds)))
+    head = np.array([width, *(len(r) for r in runs), len(kinds), codes.itemsize, 0, 0], dtype=np.int64)
+    far = np.stack([v[runs[2]] for v in vals], axis=1).astype(np.int64)
+    own = key[order]
+    return _padded(head, table, far, (own >> np.uint64(8)).astype(np.uint32), (own & np.uint64(255)).astype(np.uint8), codes)
+
+
+class Packed:
+    """Views of what packed() made, in a buffer or a mapped file."""
+
+    def __init__(self, buf: np.ndarray):
+        self.width, self.common, self.small, self.big, n_codes, size = (int(x) for x in buf[:64].view(np.int64)[:6])
+        at, n = 64, self.common + self.small + self.big
+
+        def take(count: int, dtype) -> np.ndarray:
+            nonlocal at
+            size = count * np.dtype(dtype).itemsize
+            out = buf[at : at + size].view(dtype)
+            at += size + -size % 8
+            return out
+
+        self.table = take((n_codes + 1) * self.width, np.int64).reshape(-1, self.width)
+        self.far = take(self.big * self.width, np.int64).reshape(-1, self.width)
+        self.high, self.low = take(n, np.uint32), take(n, np.uint8)
+        self.codes = take(self.small, f"u{size}")
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        key = self.high.astype(np.uint64) << np.uint64(8) | self.low
+        return key, np.concatenate([np.repeat(self.table[:1], self.common, axis=0), self.table[self.codes.astype(np.int64) + 1], self.far])
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """Values of keys, zeros for those that aren't there."""
+        out = np.zeros((len(key), self.width), dtype=np.int64)
+        key = key & LOW
+        high, low = (key >> np.uint64(8)).astype(np.uint32), (key & np.uint64(255)).astype(np.uint8)
+        a = 0
+        for run, n in enumerate((self.common, self.small, self.big)):
+            own = self.high[a : a + n]
+            at, rest = np.searchsorted(own, high), np.arange(len(key))
+            while len(rest):  # a round for each row with the same upper bits
+                rest = rest[at[rest] < n]
+                rest = rest[own[at[rest]] == high[rest]]
+                hit = rest[self.low[a + at[rest]] == low[rest]]
+                if run == 0:
+                    out[hit] = self.table[0]
+                elif run == 1:
+                    out[hit] = self.table[self.codes[at[hit]].astype(np.int64) + 1]
+                else:
+                    out[hit] = self.far[at[hit]]
+                at[rest] += 1
+            a += n
+        return out
 
 
-def _sent(kind: str, key: np.ndarray, cols: list[np.ndarray], vals: list[np.ndarray], shards: int) -> list[tuple[str, int, bytes, bytes]]:
-    """Rows for the shards; key ascends. Within a row, n-grams stand by their first word, whose repeats then compress away."""
+def packed_grams(cols: list[np.ndarray], count: np.ndarray) -> bytes:
+    """N-grams and their counts: the words once each, the n-grams as places among them, by the first word."""
+    words_, at = np.unique(np.concatenate(cols), return_inverse=True)
+    at = at.reshape(len(cols), -1).astype(_least(len(words_)))
+    order = np.lexsort(at[:2][::-1])
+    at, count = at[:, order], count[order]
+    at[0, 1:] = np.diff(at[0])
+    far = count[count > 254]
+    head = np.array([len(cols), len(count), len(words_), at.itemsize, len(far), 0, 0, 0], dtype=np.int64)
+    body = _padded(head, far.astype(np.int64), words_, at, np.minimum(count, 255).astype(np.uint8))
+    return len(body).to_bytes(8, "little") + pa.compress(body, codec=CODEC, asbytes=True)
+
+
+def grams(blob: bytes) -> tuple[list[np.ndarray], np.ndarray]:
+    """What packed_grams() made."""
+    body = pa.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), codec=CODEC, asbytes=True)
+    k, n, n_words, size, n_far = np.frombuffer(body, dtype=np.int64, count=5).tolist()
+    far = np.frombuffer(body, dtype=np.int64, count=n_far, offset=64)
+    at = 64 + 8 * n_far
+    words_ = np.frombuffer(body, dtype=np.uint64, count=n_words, offset=at)
+    at += 8 * n_words
+    places = np.frombuffer(body, dtype=f"u{size}", count=k * n, offset=at).reshape(k, n)
+    at += k * n * size + -(k * n * size) % 8
+    count = np.frombuffer(body, dtype=np.uint8, count=n, offset=at).astype(np.int64)
+    count[count == 255] = far
+    return [words_[np.cumsum(p, dtype=np.int64) if i == 0 else p] for i, p in enumerate(places)], count
+
+
+def _sent(kind: str, part: int, key: np.ndarray, cols: list[np.ndarray] | None, vals: list[np.ndarray], shards: int) -> list[tuple]:
+    """Rows for the shards; key ascends. cols: the words of n-grams, whose keys go on to lower orders."""
     at = np.searchsorted(shard_of(key, shards), np.arange(shards + 1))
-    out = []
-    for s, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
-        if b > a:
-            order = np.argsort(cols[0][a:b], kind="stable")
-            out.append((kind, s, b"".join(c[a:b][order].tobytes() for c in cols), _narrow(np.stack([v[a:b][order] for v in vals])).tobytes()))
-    return out
+    return [
+        (kind, part, s, packed_grams([c[a:b] for c in cols], vals[0][a:b]) if cols else packed(key[a:b], [v[a:b] for v in vals]), None)
+        for s, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
+        if b > a
+    ]
 
 
-def _batch(rows: list[tuple[str, int, bytes, bytes]]) -> pa.RecordBatch:
-    kind, shard, cols, vals = zip(*rows, strict=True) if rows else ([], [], [], [])
-    return pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(shard, pa.int32()), pa.array(cols, pa.binary()), pa.array(vals, pa.binary())], names=["kind", "shard", "cols", "vals"])
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+    columns_ = zip(*rows, strict=True) if rows else [[]] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns_, types, strict=True)], names=["kind", "part", "shard", "body", "stat"])
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -99,73 +218,50 @@ def columns(t: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarray]:
     return out
 
 
-def _unpacked(blobs: list[tuple[bytes, bytes]], n_cols: int, n_vals: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    cols: list[list[np.ndarray]] = [[] for _ in range(n_cols)]
-    vals: list[list[np.ndarray]] = [[] for _ in range(n_vals)]
-    for c, v in blobs:
-        m = len(c) // 8 // n_cols
-        for x, part in zip(cols, np.frombuffer(c, dtype=np.uint64).reshape(n_cols, m), strict=True):
-            x.append(part)
-        for x, part in zip(vals, np.frombuffer(v, dtype=np.uint64 if len(v) == 8 * n_vals * m else np.uint32).reshape(n_vals, m), strict=True):
-            x.append(part)
-    return [np.concatenate(x) for x in cols], [np.concatenate(x).astype(np.int64) for x in vals]
+def _put(folder: str, name: str, body: bytes) -> None:
+    beside = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    with open(beside, "wb") as f:
+        f.write(body)
+    os.replace(beside, f"{folder}/{name}")
+
 
+def _summed(bodies: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Rows of packed() bodies, those of the same key as one."""
+    keys, vals = zip(*(Packed(np.frombuffer(b, dtype=np.uint8)).rows() for b in bodies), strict=True)
+    key, _, sums = added(np.concatenate(keys), [], list(np.concatenate(vals).T))
+    return key, sums
 
-def _put(folder: str, name: str, array: np.ndarray) -> None:
-    beside = f"{folder}/.{name}-{uuid.uuid4().hex}.npy"
-    np.save(beside, array)
-    os.replace(beside, f"{folder}/{name}.npy")
 
+def _settle(folder: str, order: int, shards: int, last: bool = False):
+    """What the task of a shard does, by the kind of its rows. Single words are added up in every pass, and settled in the last job."""
 
-def _level(folder: str, order: int, k: int, shards: int):
-    """What a shard of the n-grams of k words does."""
+    def level(k: int, part: int, shard: int, bodies: list[bytes]) -> list[tuple]:
+        cols, counts = zip(*map(grams, bodies), strict=True)
+        bodies.clear()
+        cols = [np.concatenate(c) for c in zip(*cols, strict=True)]
+        key, cols, (c,) = added(key_of(cols), cols, [np.concatenate(counts)])
+        _put(folder, f"gram{k}-{part}-{shard}", packed(key, [c]))
+        ctx, _, sums = added(key_of(cols[:-1]), [], [c, *((c == i).astype(np.int64) for i in (1, 2)), (c > 2).astype(np.int64)])
+        rows = _sent(f"ctx{k}", part, ctx, None, sums, shards)
+        low, low_cols, (n,) = added(key_of(cols[1:]), cols[1:], [np.ones_like(c)])
+        rows += _sent(f"gram{k - 1}", part, low, low_cols, [n], shards) if k > 2 else _sent("uni", 0, low, None, [n, np.zeros_like(n)], shards)
+        return [*rows, (f"stat{k}", part, shard, None, [int((c == i).sum()) for i in (1, 2, 3, 4)])]
 
     def run(group: pa.Table) -> pa.Table:
-        blobs = list(zip(group.column("cols").to_pylist(), group.column("vals").to_pylist(), strict=True))
-        shard = group.column("shard")[0].as_py()
+        kind, part, shard = (group.column(c)[0].as_py() for c in ("kind", "part", "shard"))
+        bodies = group.column("body").to_pylist()
         del group
-        cols, vals = _unpacked(blobs, k, 1)
-        blobs.clear()
-        key, cols, (c,) = added(key_of(cols), cols, vals)
-        once = c == 1  # most n-grams; their hashes alone are kept
-        _put(folder, f"gram{k}-{shard}-once", key[once])
-        _put(folder, f"gram{k}-{shard}-keys", key[~once])
-        _put(folder, f"gram{k}-{shard}-vals", _narrow(c[~once]))
-        rows = []
-        seen = [(c == 1).astype(np.int64), (c == 2).astype(np.int64), (c > 2).astype(np.int64)]
-        ctx, _, sums = added(key_of(cols[:-1]), [], [c, *seen])
-        rows += _sent(f"ctx{k}", ctx, [ctx], sums, shards)
-        raw = [c] if k == order else [np.zeros_like(c)]  # of single words the true count is wanted, too
-        one = np.ones_like(c)
-        if k == 2:
-            word, _, sums = added(cols[1], [], [one, *raw])
-            rows += _sent("uni", word, [word], sums, shards)
+        if kind.startswith("gram"):
+            return pa.Table.from_batches([_batch(level(int(kind[4:]), part, shard, bodies))])
+        key, sums = _summed(bodies)
+        body, rows = packed(key, sums), []
+        if not last and kind in ("uni", "ctx2"):
+            rows.append((kind, part, shard, body, None))
         else:
-            low, low_cols, (n,) = added(key_of(cols[1:]), cols[1:], [one])
-            rows += _sent(f"gram{k - 1}", low, low_cols, [n], shards)
-            if k == order:
-                word, _, (n,) = added(cols[-1], [], [c])
-                rows += _sent("uni", word, [word], [np.zeros_like(n), n], shards)
-        rows.append((f"stat{k}", shard, b"", np.array([(c == i).sum() for i in (1, 2, 3, 4)], dtype=np.int64).tobytes()))
-        return pa.Table.from_batches([_batch(rows)])
-
-    return run
-
-
-def _last(folder: str):
-    """Contexts and single words."""
-
-    def run(group: pa.Table) -> pa.Table:
-        kind, shard = group.column("kind")[0].as_py(), group.column("shard")[0].as_py()
-        n_vals = 2 if kind == "uni" else 4
-        cols, vals = _unpacked(list(zip(group.column("cols").to_pylist(), group.column("vals").to_pylist(), strict=True)), 1, n_vals)
-        key, _, sums = added(cols[0], [], vals)
-        _put(folder, f"{kind}-{shard}-keys", key)
-        _put(folder, f"{kind}-{shard}-vals", _narrow(np.stack(sums, axis=1)))
-        rows = []
-        if kind == "uni":
-            n = sums[0]
-            rows.append(("stat1", shard, b"", np.array([*((n == i).sum() for i in (1, 2, 3, 4)), n.sum(), (n > 2).sum(), sums[1].sum(), len(key)], dtype=np.int64).tobytes()))
+            _put(folder, f"{kind}-{part}-{shard}", body)
+            if kind == "uni":
+                n, raw = sums
+                rows.append(("stat1", part, shard, None, [int(x) for x in (*((n == i).sum() for i in (1, 2, 3, 4)), n.sum(), (n > 2).sum(), raw.sum(), (raw > 0).sum())]))
         return pa.Table.from_batches([_batch(rows)])
 
     return run
@@ -179,7 +275,7 @@ def _local(path: str) -> str:
     return url.path
 
 
-def train(docs: DataFrame, text_col: str = "text", order: int = 2, model_dir: str | None = None, shard_bytes: int = 16 << 20, flush: int = 3_000_000) -> dict:
+def train(docs: DataFrame, text_col: str = "text", order: int = 2, model_dir: str | None = None, shard_bytes: int = 16 << 20, flush: int = 1_500_000, parts: int = 6) -> dict:
     """Counts the texts of docs; returns what a worker needs to open the model."""
     spark = docs.sparkSession
     ship(spark)
@@ -187,47 +283,58 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2, model_dir: st
     os.makedirs(folder, exist_ok=True)
     source = docs.select(F.col(text_col).cast("string").alias("text"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(32, -(-size // shard_bytes))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        n = 0
-
-        def out() -> pa.RecordBatch:
-            cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-            key, cols, vals = added(key_of(cols), cols, [np.ones(len(cols[0]), dtype=np.int64)])
-            return _batch(_sent(f"gram{order}", key, cols, vals, shards))
-
-        for batch in batches:
-            for part in slices(batch, "text"):
-                t, counts = tokens(part.column("text"))
-                held.append(columns(t, counts, order))
-                n += len(t)
-                if n >= flush:
-                    yield out()
-                    held, n = [], 0
-        if held:
-            yield out()
-
-    rows = mapped(source, count, ROWS)
-    rest = []
-    for k in range(order, 1, -1):
-        rows = written(rows.groupBy("shard").applyInArrow(_level(folder, order, k, shards), ROWS), f"lexiflow-gram{k}")
+    shards = max(8, -(-size // (shard_bytes * parts)))
+
+    def counter(part: int):
+        def sent(cols: list[np.ndarray], kind: str) -> list[tuple]:
+            key, cols, (n,) = added(key_of(cols), cols, [np.ones(len(cols[0]), dtype=np.int64)])
+            return _sent("uni", 0, key, None, [np.zeros_like(n), n], shards) if kind == "uni" else _sent(kind, part, key, cols, [n], shards)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[str, list[list[np.ndarray]]] = {f"gram{order}": [], **({"uni": []} if part == 0 else {})}
+            n = dict.fromkeys(held, 0)
+            for batch in batches:
+                for piece in slices(batch, "text"):
+                    t, counts = tokens(piece.column("text"))
+                    cols = columns(t, counts, order)
+                    own = np.flatnonzero(part_of(cols[-2], parts) == part)
+                    for kind in held:
+                        held[kind].append([t] if kind == "uni" else [c[own] for c in cols])
+                        n[kind] += len(held[kind][-1][0])
+                        if n[kind] >= flush:
+                            yield _batch(sent([np.concatenate(x) for x in zip(*held[kind], strict=True)], kind))
+                            held[kind], n[kind] = [], 0
+            for kind, rows in held.items():
+                if n[kind]:
+                    yield _batch(sent([np.concatenate(x) for x in zip(*rows, strict=True)], kind))
+
+        return count
+
+    stats: dict[str, list[int]] = {}
+
+    def settled(rows: DataFrame, last: bool = False) -> DataFrame:
+        out = written(rows.groupBy("kind", "part", "shard").applyInArrow(_settle(folder, order, shards, last), ROWS), "lexiflow-ngram-rows")
         release(spark)
-        rest.append(rows.where(F.col("kind").startswith("ctx") | F.col("kind").startswith("stat") | (F.col("kind") == "uni")))
-        rows = rows.where(F.col("kind") == f"gram{k - 1}")
-    every = rest[0]
-    for x in rest[1:]:
+        for r in out.select("kind", F.posexplode("stat").alias("i", "n")).groupBy("kind", "i").agg(F.sum("n").alias("n")).collect():  # 8 rows an order
+            stats.setdefault(r.kind, [0] * 8)[r.i] += r.n
+        return out.where(F.col("stat").isNull())
+
+    left = []
+    for part in range(parts):
+        rows = settled(mapped(source, counter(part), ROWS))
+        for _ in range(order - 2):
+            before, rows = rows, settled(rows)
+            drop_written(before)
+        left.append(rows)
+    every = left[0]
+    for x in left[1:]:
         every = every.unionByName(x)
-    last = written(every.where(~F.col("kind").startswith("stat")).groupBy("kind", "shard").applyInArrow(_last(folder), ROWS), "lexiflow-words")
-    release(spark)
-    stats: dict[str, np.ndarray] = {}
-    for r in last.unionByName(every.where(F.col("kind").startswith("stat"))).select("kind", "vals").toLocalIterator():  # a short row a shard
-        v = np.frombuffer(r[1], dtype=np.int64)
-        stats[r[0]] = stats.get(r[0], 0) + v
-    one = stats.get("stat1", np.zeros(8, dtype=np.int64))
+    drop_written(settled(every, last=True))
+    for x in left:
+        drop_written(x)
+    one = stats.get("stat1", [0] * 8)
     open(f"{folder}/{WHOLE}", "w").close()
-    return {"folder": folder, "order": order, "shards": shards, "tokens": int(one[6]), "distinct": int(one[7]), "pairs": int(one[4]), "unigram": [int(one[0]), int(one[1]), int(one[5])], "discounts": {k: discounts(*(int(x) for x in stats.get(f"stat{k}", np.zeros(4))[:4])) for k in range(1, order + 1)}}
+    return {"folder": folder, "order": order, "shards": shards, "parts": parts, "tokens": one[6], "distinct": one[7], "pairs": one[4], "unigram": [one[0], one[1], one[5]], "discounts": {k: discounts(*stats.get(f"stat{k}", [0] * 4)[:4]) for k in range(1, order + 1)}}
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
@@ -243,32 +350,42 @@ class Scorer:
     def __init__(self, model: dict):
         if not os.path.exists(f"{model['folder']}/{WHOLE}"):
             raise FileNotFoundError(f"no model in {model['folder']}; is the folder mounted here?")
-        self.model, self.open = model, {}
-
-    def find(self, kind: str, keys: np.ndarray, width: int) -> np.ndarray:
-        """Values of ascending keys, zeros for those that aren't there."""
-        out = np.zeros((len(keys), width), dtype=np.int64)
-        at = np.searchsorted(shard_of(keys, self.model["shards"]), np.arange(self.model["shards"] + 1))
-        for s in np.flatnonzero(np.diff(at)).tolist():
-            if (kind, s) not in self.open:
-                path = f"{self.model['folder']}/{kind}-{s}"
-                self.open[kind, s] = {x: np.load(f"{path}-{x}.npy", mmap_mode="r") for x in ("keys", "vals", "once") if os.path.exists(f"{path}-{x}.npy")}
-            files, own = self.open[kind, s], keys[at[s] : at[s + 1]]
-            for name in ("keys", "once"):
-                have = files.get(name, ())
-                if len(have):
-                    i = np.minimum(np.searchsorted(have, own), len(have) - 1)
-                    hit = np.flatnonzero(have[i] == own)
-                    out[at[s] + hit] = np.asarray(files["vals"][i[hit]]).reshape(len(hit), width) if name == "keys" else 1
+        self.model, self.open = model, OrderedDict()
+
+    def shard(self, kind: str, part: int, shard: int) -> Packed | None:
+        name = f"{kind}-{part}-{shard}"
+        if name not in self.open:
+            path = f"{self.model['folder']}/{name}"
+            self.open[name] = Packed(np.memmap(path, dtype=np.uint8, mode="r")) if os.path.exists(path) else None
+            if len(self.open) > MOST_OPEN:
+                self.open.popitem(last=False)
+        self.open.move_to_end(name)
+        return self.open[name]
+
+    def find(self, kind: str, key: np.ndarray, part: np.ndarray, width: int) -> np.ndarray:
+        """Values of ascending keys in their parts, zeros for those that aren't there."""
+        out = np.zeros((len(key), width), dtype=np.int64)
+        for p in np.unique(part).tolist():
+            mine = np.flatnonzero(part == p)
+            at = np.searchsorted(shard_of(key[mine], self.model["shards"]), np.arange(self.model["shards"] + 1))
+            for s in np.flatnonzero(np.diff(at)).tolist():
+                shard, own = self.shard(kind, p, s), mine[at[s] : at[s + 1]]
+                if shard:
+                    out[own] = shard.find(key[own])
         return out
 
+    def gram(self, kind: str, cols: list[np.ndarray], part: np.ndarray, width: int) -> np.ndarray:
+        """Values of n-grams."""
+        key, first, back = np.unique(key_of(cols), return_index=True, return_inverse=True)
+        return self.find(kind, key, part[first], width)[back]
+
     def block(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens, known tokens, base score and score of each text."""
         m = self.model
         t, counts = tokens(column)
         cols = columns(t, counts, m["order"])
         word, back = np.unique(t, return_inverse=True)
-        uni = self.find("uni", word, 2)
+        uni = self.find("uni", word, np.zeros(len(word), dtype=np.int64), 2)
         n, v = m["tokens"], m["distinct"]
         base = np.log10((uni[:, 1] + 0.1) / (n + 0.1 * (v + 1)))[back]
         d = np.array(m["discounts"][1])
@@ -279,10 +396,9 @@ class Scorer:
         prob = p[back]
         for k in range(2, m["order"] + 1):
             own = cols[len(cols) - k :]
-            gram, where = np.unique(key_of(own), return_inverse=True)
-            c = self.find(f"gram{k}", gram, 1)[:, 0][where]
-            ctx, where = np.unique(key_of(own[:-1]), return_inverse=True)
-            stats = self.find(f"ctx{k}", ctx, 4)[where]
+            part = part_of(own[-2], m["parts"])
+            c = self.gram(f"gram{k}", own, part, 1)[:, 0]
+            stats = self.gram(f"ctx{k}", own[:-1], part, 4)
             d = np.array(m["discounts"][k])
             total = np.maximum(stats[:, 0], 1)
             higher = (c - d[np.minimum(c, 3)]) / total + (stats[:, 1:] @ d[1:]) / total * prob

@@ -45,9 +45,26 @@ def test_query_scores_with_two_words_of_context(spark):
 
 def test_counts_beyond_four_bytes_and_a_folder_that_is_not_there():
     big = np.array([(1 << 32) + 5, 1], dtype=np.int64)
-    key = np.array([3, 1 << 40], dtype=np.uint64)
-    rows = kneser_ney._sent("x", key, [key], [big, big], 1)
-    cols, vals = kneser_ney._unpacked([(c, v) for _, _, c, v in rows], 1, 2)
-    assert cols[0].tolist() == key.tolist() and [v.tolist() for v in vals] == [big.tolist()] * 2
+    key = np.array([3, 1 << 39], dtype=np.uint64)
+    rows = kneser_ney._sent("x", 0, key, None, [big, big], 1)
+    back, sums = kneser_ney._summed([r[3] for r in rows] * 2)
+    assert back.tolist() == [3, 1 << 39] and [v.tolist() for v in sums] == [(2 * big).tolist()] * 2
+    cols, counts = kneser_ney.grams(kneser_ney.packed_grams([key, key[::-1]], big))
+    assert sorted(zip(*(c.tolist() for c in cols), counts.tolist(), strict=True)) == sorted(zip(key.tolist(), key[::-1].tolist(), big.tolist(), strict=True))
     with pytest.raises(FileNotFoundError):
         kneser_ney.Scorer({"folder": "/nowhere"})
+
+
+def test_packed_rows_are_found_again():
+    rng = np.random.default_rng(5)
+    key = np.unique(rng.integers(0, 1 << 40, 5000, dtype=np.uint64))
+    key[1::2] = key[::2][: len(key[1::2])] ^ np.uint64(1)  # pairs that share their upper bits
+    key = np.unique(key)
+    vals = [rng.choice([1, 2, 7, 300, 1 << 33], len(key), p=[0.7, 0.1, 0.1, 0.05, 0.05]) for _ in range(3)]
+    got = kneser_ney.Packed(np.frombuffer(kneser_ney.packed(key, vals), dtype=np.uint8))
+    assert (got.find(key) == np.stack(vals, axis=1)).all()
+    away = np.setdiff1d(rng.integers(0, 1 << 40, 5000, dtype=np.uint64), key)
+    assert not got.find(away).any()
+    back, rows = got.rows()
+    order = np.argsort(back)
+    assert back[order].tolist() == key.tolist() and (rows[order] == np.stack(vals, axis=1)).all()
