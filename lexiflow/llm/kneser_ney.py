@@ -41,7 +41,6 @@ from .words import mix, slices, words
 END, BEGIN = np.uint64(0xE5A1F3C2D4B69788), np.uint64(0xB1C6E2F4A9D37851)
 WHOLE = "whole"  # stands in a folder once all of the model is there
 ROWS = "kind string, part int, shard int, body binary, stat array<bigint>"
-LOW = np.uint64((1 << 40) - 1)
 CODEC = "zstd"
 MOST_OPEN = 1000
 
@@ -58,7 +57,7 @@ def added(key: np.ndarray, cols: list[np.ndarray], vals: list[np.ndarray]) -> tu
     """Rows of the same key as one, in the order of keys, with vals summed."""
     if not len(key):
         return key, cols, vals
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     return key[first], [c[order[first]] for c in cols], [np.add.reduceat(v[order], first) for v in vals]
@@ -69,6 +68,11 @@ def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
+def place_of(key: np.ndarray, shards: int) -> np.ndarray:
+    """Where in its shard a hash stands, in 40 bits: ascends with the hash."""
+    return key * np.uint64(shards) >> np.uint64(24)
+
+
 def part_of(word: np.ndarray, parts: int) -> np.ndarray:
     return ((word & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
@@ -84,9 +88,9 @@ def _least(n: int) -> np.dtype:
 
 
 def packed(key: np.ndarray, vals: list[np.ndarray]) -> bytes:
-    """Ascending keys of one shard and their values: first the rows with the commonest values, as keys alone, then those whose values
+    """Places in one shard, ascending, and their values: first the rows with the commonest values, as keys alone, then those whose values
     all are below 256, with a code for them, then the others, with their values."""
-    key, width = key & LOW, len(vals)
+    width = len(vals)
     code = np.zeros(len(key), dtype=np.int64)
     small = np.ones(len(key), dtype=bool)
     for i, v in enumerate(vals):
@@ -133,7 +137,6 @@ class Packed:
     def find(self, key: np.ndarray) -> np.ndarray:
         """Values of keys, zeros for those that aren't there."""
         out = np.zeros((len(key), self.width), dtype=np.int64)
-        key = key & LOW
         high, low = (key >> np.uint64(8)).astype(np.uint32), (key & np.uint64(255)).astype(np.uint8)
         a = 0
         for run, n in enumerate((self.common, self.small, self.big)):
@@ -186,7 +189,7 @@ def _sent(kind: str, part: int, key: np.ndarray, cols: list[np.ndarray] | None,
     """Rows for the shards; key ascends. cols: the words of n-grams, whose keys go on to lower orders."""
     at = np.searchsorted(shard_of(key, shards), np.arange(shards + 1))
     return [
-        (kind, part, s, packed_grams([c[a:b] for c in cols], vals[0][a:b]) if cols else packed(key[a:b], [v[a:b] for v in vals]), None)
+        (kind, part, s, packed_grams([c[a:b] for c in cols], vals[0][a:b]) if cols else packed(place_of(key[a:b], shards), [v[a:b] for v in vals]), None)
         for s, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
         if b > a
     ]
@@ -240,7 +243,7 @@ def _settle(folder: str, order: int, shards: int, last: bool = False):
         bodies.clear()
         cols = [np.concatenate(c) for c in zip(*cols, strict=True)]
         key, cols, (c,) = added(key_of(cols), cols, [np.concatenate(counts)])
-        _put(folder, f"gram{k}-{part}-{shard}", packed(key, [c]))
+        _put(folder, f"gram{k}-{part}-{shard}", packed(place_of(key, shards), [c]))
         ctx, _, sums = added(key_of(cols[:-1]), [], [c, *((c == i).astype(np.int64) for i in (1, 2)), (c > 2).astype(np.int64)])
         rows = _sent(f"ctx{k}", part, ctx, None, sums, shards)
         low, low_cols, (n,) = added(key_of(cols[1:]), cols[1:], [np.ones_like(c)])
@@ -275,7 +278,7 @@ def _local(path: str) -> str:
     return url.path
 
 
-def train(docs: DataFrame, text_col: str = "text", order: int = 2, model_dir: str | None = None, shard_bytes: int = 16 << 20, flush: int = 1_500_000, parts: int = 6) -> dict:
+def train(docs: DataFrame, text_col: str = "text", order: int = 2, model_dir: str | None = None, shard_bytes: int = 16 << 20, flush: int = 1_000_000, parts: int = 6) -> dict:
     """Counts the texts of docs; returns what a worker needs to open the model."""
     spark = docs.sparkSession
     ship(spark)
@@ -356,7 +359,7 @@ class Scorer:
         name = f"{kind}-{part}-{shard}"
         if name not in self.open:
             path = f"{self.model['folder']}/{name}"
-            self.open[name] = Packed(np.memmap(path, dtype=np.uint8, mode="r")) if os.path.exists(path) else None
+            self.open[name] = Packed(np.memmap(path, dtype=np.uint8, mode="r").view(np.ndarray)) if os.path.exists(path) else None
             if len(self.open) > MOST_OPEN:
                 self.open.popitem(last=False)
         self.open.move_to_end(name)
@@ -371,13 +374,18 @@ class Scorer:
             for s in np.flatnonzero(np.diff(at)).tolist():
                 shard, own = self.shard(kind, p, s), mine[at[s] : at[s + 1]]
                 if shard:
-                    out[own] = shard.find(key[own])
+                    out[own] = shard.find(place_of(key[own], self.model["shards"]))
         return out
 
     def gram(self, kind: str, cols: list[np.ndarray], part: np.ndarray, width: int) -> np.ndarray:
         """Values of n-grams."""
-        key, first, back = np.unique(key_of(cols), return_index=True, return_inverse=True)
-        return self.find(kind, key, part[first], width)[back]
+        key = key_of(cols)
+        order = np.argsort(key)
+        key = key[order]
+        fresh = np.concatenate([[True], key[1:] != key[:-1]])
+        back = np.empty(len(key), dtype=np.int64)
+        back[order] = np.cumsum(fresh) - 1
+        return self.find(kind, key[fresh], part[order[fresh]], width)[back]
 
     def block(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens, known tokens, base score and score of each text."""
