@@ -9,8 +9,8 @@
    near copies, each class is held against a leader of its longest list, the one whose whole set has the fewest values of its own.
 4. The union sketch filters pairs by the same number; the full sets decide. Components of confirmed links.
 5. What long lists hold outside their largest component is then paired exactly, from the full sets: both sizes tell how many common values
-   a link needs, so prefixes listed for classes of sizes are short, and only pairs of different components are listed. No list
-   is cut and no pair dropped.
+   a link needs, so the rarest of each set, as many that one is common, are listed, and only those outside a largest component look for
+   members of other components there. No list is cut and no pair dropped.
 
 Defined cases: null or empty texts, and those without words, have empty sets and no links; with fewer words than a shingle, the
 whole sequence is one; a row with a null id is linked with nothing and has no component; rows of one id count as one document;
@@ -28,7 +28,7 @@ from math import comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop_written, mapped, written
@@ -94,9 +94,9 @@ def _fits(num: int, den: int):
     return F.least("na", "nb") * den >= F.greatest("na", "nb") * num
 
 
-def _step(num: int, den: int, parts: int = 1) -> float:
-    """Width of a class of sizes on a logarithmic scale: the sizes of two similar sets are at most `parts` classes apart."""
-    return log(den / num) * (1 + 1e-9) / parts
+def _step(num: int, den: int) -> float:
+    """Width of a class of sizes on a logarithmic scale: the sizes of two similar sets are at most one class apart."""
+    return log(den / num) * (1 + 1e-9)
 
 
 def _within(lists: DataFrame, num: int, den: int) -> DataFrame:
@@ -137,8 +137,8 @@ def candidates(reps: DataFrame, num: int, den: int, k: int, long_list: int) -> t
 
 
 def ranked(hot: DataFrame, full: DataFrame) -> DataFrame:
-    """(rep, vs, weight): of each member of long lists (key, rep, n, c) the values of its whole set that another member has, too, rarest first, as
-    (c, v); c is the number of members that have it, weight the sum of these."""
+    """(rep, v, c, m, at): of each member of long lists (key, rep, n, c) the values of its whole set that another member has, too; c is the number of
+    members that have it, m how many such values rep has, and at where v stands among them, rarest first."""
     from pyspark.sql import types as T
 
     sets = full.join(hot.select(F.col("rep").alias("id")).distinct().hint("merge"), "id", "left_semi")
@@ -152,7 +152,9 @@ def ranked(hot: DataFrame, full: DataFrame) -> DataFrame:
 
     flat = written(mapped(sets, values, T.StructType([T.StructField("rep", full.schema["id"].dataType), T.StructField("v", T.LongType())])), "lexiflow-values")
     counts = written(flat.groupBy("v").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "lexiflow-counts")
-    out = written(flat.join(counts, "v").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("c", "v"))).alias("vs"), F.sum("c").alias("weight")), "lexiflow-ranked")
+    own = Window.partitionBy("rep")
+    place = F.row_number().over(own.orderBy("c", "v")) - 1
+    out = written(flat.join(counts, "v").select("rep", "v", "c", F.count(F.lit(1)).over(own).alias("m"), place.alias("at")), "lexiflow-ranked")
     for done in (flat, counts):
         drop_written(done)
     return out
@@ -161,7 +163,7 @@ def ranked(hot: DataFrame, full: DataFrame) -> DataFrame:
 def led(hot: DataFrame, ranks: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of members of long lists with the leader of their longest list: the one that has the fewest values of its own, and then the
     commonest others. In a group of near copies that is their middle, with which most are linked."""
-    central = ranks.select("rep", (-F.size("vs")).alias("size"), (-F.col("weight")).alias("weight"))
+    central = ranks.groupBy("rep").agg((-F.count(F.lit(1))).alias("size"), (-F.sum("c")).alias("weight"))
     members = hot.join(central, "rep").select("key", "rep", "n", "c", (F.col("n") + F.col("size")).alias("alone"), "weight")
     longest = hot.groupBy("rep", "n").agg(F.max(F.struct("c", "key"))["key"].alias("key"))
     leader = written(members.groupBy("key").agg(F.min(F.struct("alone", "weight", "rep", "n")).alias("l")).select("key", F.col("l.rep").alias("other"), F.col("l.n").alias("nb")), "lexiflow-leaders")
@@ -180,37 +182,31 @@ def estimated(pairs: DataFrame, reps: DataFrame, num: int, den: int, k: int) ->
 
 
 def apart(hot: DataFrame, near: DataFrame) -> DataFrame:
-    """(rep, n, comp) of the members of lists whose members aren't all connected, with the component of each."""
+    """(rep, n, comp, out) of the members of lists whose members aren't all connected, with the component of each; out: it is outside the largest
+    component of one of its lists. Of two members of a list in different components, one is out at least."""
     side = near.select(F.col("node").alias("rep"), F.col("component").alias("comp"))
     placed = written(hot.select("key", "rep", "n").join(side, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "lexiflow-placed")
-    open_ = written(placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key"), "lexiflow-open")
-    out = written(placed.join(open_, "key", "left_semi").select("rep", "n", "comp").distinct(), "lexiflow-members")
+    sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
+    open_ = sizes.groupBy("key").agg(F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    open_ = written(open_.select("key", "main"), "lexiflow-open")
+    out = written(placed.join(open_, "key").groupBy("rep", "n", "comp").agg(F.bool_or(F.col("comp") != F.col("main")).alias("out")), "lexiflow-members")
     drop_written(placed)
     return out
 
 
-def across(members: DataFrame, ranks: DataFrame, num: int, den: int, parts: int = 8) -> DataFrame:
-    """Pairs (a, b) between members (rep, n, comp) that aren't connected yet: all that can be similar, from their whole sets. Of two sets of sizes x
-    and y the threshold asks for num * (x + y) / (num + den) common values, so the rarest of each, as many that one is among them, are listed for
-    each class of the other's size; where the first common value stands in both orders bounds what they can have in common."""
-    step = _step(num, den, parts)
-    members = members.withColumn("own", F.floor(F.log(F.col("n").cast("double")) / step))
-    all_ = ranks.join(members, "rep")
-    other = F.explode(F.sequence(F.col("own") - parts, F.col("own") + parts)).alias("other")
-    need = lambda size: F.greatest(F.ceil((F.col("n") + size) * num / (num + den)), F.lit(1))
-    least = need(F.floor(F.exp(F.col("other") * step) * (1 - 1e-9)))  # no size of that class is smaller
-    # a class of sizes is a number below parts * log(2**63) / log(den / num), whatever the corpus
-    known = F.broadcast(members.select(F.col("own").alias("other")).distinct())
-    cut = all_.select("rep", "n", "comp", "own", "vs", other).join(known, "other")
-    cut = cut.select("rep", "n", "comp", "own", "other", F.size("vs").alias("m"), F.posexplode(F.slice("vs", 1, F.greatest(F.size("vs") - least + 1, F.lit(0)).cast("int"))).alias("at", "v"))
-    # rest: the value and all that come after it in the order
-    lists = written(cut.select(F.xxhash64("v.v", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "rep", "n", "comp", "own", "other", (F.col("m") - F.col("at")).alias("rest")), "lexiflow-exact")
-    main = lists.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps"))
-    main = written(main.where("comps > 1").select("key", "main"), "lexiflow-main")
-    left = lists.join(main, "key").where("comp != main").select("key", F.col("rep").alias("r"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("own").alias("oa"), F.col("other").alias("ob"), F.col("rest").alias("ra"))
-    right = lists.select("key", "rep", F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("own").alias("ob"), F.col("other").alias("oa"), F.col("rest").alias("rb"))
-    pairs = left.join(right, ["key", "oa", "ob"]).where("ca != cb").where(F.least("ra", "rb") * (num + den) >= (F.col("na") + F.col("nb")) * num).where(_fits(num, den))
-    return written(pairs.select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b")).distinct(), "lexiflow-across")
+def across(members: DataFrame, ranks: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) between members (rep, n, comp, out) that aren't connected yet, one of them out: all that can be similar, from their whole sets. Of
+    two sets of sizes x and y the threshold asks for num * (x + y) / (num + den) common values, so one is among the rarest of each, as many
+    that fewer remain; where the first common value stands in both orders bounds what they can have in common."""
+    # rest: the value and all that come after it in the order; no similar set is smaller than n * num / den
+    listed = ranks.join(members, "rep").select("v", "rep", "n", "comp", "out", (F.col("m") - F.col("at")).alias("rest"))
+    listed = written(listed.where(F.col("rest") * (num + den) >= (F.col("n") + F.ceil(F.col("n") * num / den)) * num), "lexiflow-exact")
+    left = listed.where("out").select("v", F.col("rep").alias("r"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("rest").alias("ra"))
+    right = listed.select("v", "rep", F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("rest").alias("rb"))
+    pairs = left.join(right, "v").where("ca != cb").where(F.least("ra", "rb") * (num + den) >= (F.col("na") + F.col("nb")) * num).where(_fits(num, den))
+    out = written(pairs.select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b")).distinct(), "lexiflow-across")
+    drop_written(listed)
+    return out
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
