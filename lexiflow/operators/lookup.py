@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..storage import exists
-from .ranking import keep_first, rank_map
+from .ranking import keep_first, keep_last, rank_map
 
 
 def pending(wanted: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
@@ -59,6 +59,17 @@ def ranked_entries(entries: DataFrame, words: DataFrame, position: str = "ord",
     return kept.join(ranks.withColumnsRenamed({"word": "_key", "rank": "frequency_rank"}), "_key", "left").drop("_key", "_first")
 
 
+def listed_entries(entries: DataFrame, words: DataFrame, position: str = "ord", file: str = "file") -> DataFrame:
+    """Entries with `rank` in the order of a word list, taken as it is spelt: of entries whose file has a listed stem, the last one, at the word's first
+    rank; all others unranked and kept. Sort by `rank` (nulls last) and position."""
+    from ..functions.text import stem
+
+    first = words.groupBy(F.col("word").alias("_key")).agg(F.min("rank").alias("rank"))
+    joined = entries.withColumn("_key", F.lower(stem(F.col(file)))).join(first, "_key", "left")
+    last = keep_last(joined.where("rank is not null").select("_key", position), ["_key"], F.col(position)).withColumn("_last", F.lit(True))
+    return joined.join(last, ["_key", position], "left").where("_last or rank is null").drop("_key", "_last")
+
+
 def elementwise(df: DataFrame, key: str, items: str, lookup: DataFrame, by: str, value: str) -> DataFrame:
     """df with `found`: for each element of an array of structs, in order, what the lookup has for its field `by` (or null)."""
     flat = df.select(key, F.posexplode(items).alias("_pos", "_item")).withColumn(by, F.col(f"_item.{by}"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..schema import NOTE_FIELDS
+from ..schema import NOTE_FIELDS, PLAIN_FIELDS
 
 NO_DEFINITION = "(no definition)"
 DERIVED = ["Afledninger", "Sammensætninger", "Øvrige"]  # fixed values: the categories that a card shows
@@ -77,6 +77,21 @@ def notes(df: DataFrame, fields: dict[str, Column], guid: Column) -> DataFrame:
     return df.select(*[F.coalesce(fields.get(f, F.lit("")), F.lit("")).alias(f) for f in NOTE_FIELDS], guid.alias("guid"))
 
 
+def _firsts() -> dict[str, Column]:
+    """The first grammar and the first example of an entry's definitions."""
+    texts = F.transform("definitions", lambda d: F.coalesce(F.transform(d.examples, lambda x: x.text), F.array().cast("array<string>")))
+    return {"Grammar": tx.sanitize(tx.first_nonempty(F.transform("definitions", lambda d: d.grammar))), "Example": tx.first_nonempty(F.transform(F.flatten(texts), tx.sanitize))}
+
+
+def _with_sounds(entries: DataFrame, audio: DataFrame, position: str) -> DataFrame:
+    """entries with `_sounds`, their pronunciations (ipa, label, path) in order; of several files of one address, the least counts."""
+    audio = audio.groupBy(F.col("url").alias("_url")).agg(F.min("path").alias("path"))
+    sounds = entries.select(F.col(position).alias("_position"), F.posexplode("udtale").alias("_i", "_u")).join(audio, F.col("_u.audio") == F.col("_url"), "left")
+    sounds = sounds.groupBy("_position").agg(F.array_sort(F.collect_list(F.struct("_i", F.col("_u.ipa").alias("ipa"), F.col("_u.label").alias("label"), "path"))).alias("_sounds"))
+    empty = F.array().cast("array<struct<_i:int,ipa:string,label:string,path:string>>")
+    return entries.join(sounds, entries[position] == sounds["_position"], "left").withColumn("_sounds", F.coalesce("_sounds", empty))
+
+
 def cards(entries: DataFrame, audio: DataFrame, pos: DataFrame, definition_tr: DataFrame, expression_tr: DataFrame, language: str, position: str = "ord") -> DataFrame:
     """Notes of ranked entries (with `frequency_rank` and the position column). Translations are joined as one map a headword, so definitions stay in place.
     Headwords meet without the white space around them; of several translations of one text, that whose headword has none wins, then the least.
@@ -90,21 +105,15 @@ def cards(entries: DataFrame, audio: DataFrame, pos: DataFrame, definition_tr: D
 
     defs, exprs = pairs(definition_tr, "definition", "_hw", "_defs"), pairs(expression_tr, "expression", "_hw2", "_exprs")
     pos = pos.groupBy("pos").agg(F.min("pos_tr").alias("pos_tr"))
-    audio = audio.groupBy("url").agg(F.min("path").alias("path"))
-    e = entries.withColumn("_key", tx.strip(F.col("headword")))
+    e = _with_sounds(entries, audio, position).withColumn("_key", tx.strip(F.col("headword")))
     e = e.join(defs, e["_key"] == defs["_hw"], "left").join(exprs, e["_key"] == exprs["_hw2"], "left").join(pos.withColumnRenamed("pos", "_pos"), F.col("pos") == F.col("_pos"), "left")
-    sounds = entries.select(position, F.posexplode("udtale").alias("_i", "_u")).join(audio.withColumnRenamed("url", "_url"), F.col("_u.audio") == F.col("_url"), "left")
-    sounds = sounds.groupBy(F.col(position).alias("_position")).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", F.col("_u.ipa").alias("ipa"), F.col("_u.label").alias("label"), "path"))), lambda x: x).alias("_sounds"))
-    e = e.join(sounds, e[position] == sounds["_position"], "left")
-    empty = F.array().cast("array<struct<_i:int,ipa:string,label:string,path:string>>")
     definition = definitions(F.col("definitions"), F.col("_defs"))
     fields = {
         "Headword": tx.sanitize(F.col("headword")),
         "POS": pos_label(F.col("pos"), F.col("pos_tr")),
-        "IPA": pronunciations(F.coalesce("_sounds", empty)),
+        "IPA": pronunciations(F.col("_sounds")),
         "Definition": F.when(tx.truthy(F.col("_key")), or_placeholder(definition)).otherwise(definition),
-        "Grammar": tx.sanitize(tx.first_nonempty(F.transform("definitions", lambda d: d.grammar))),
-        "Example": tx.first_nonempty(F.transform(F.flatten(F.transform("definitions", lambda d: F.coalesce(F.transform(d.examples, lambda x: x.text), F.array().cast("array<string>")))), tx.sanitize)),
+        **_firsts(),
         "Variants": tx.join_safe(F.col("wordforms")),
         "Collocations": collocations(F.col("fixed_expressions"), F.col("_exprs")),
         "Derivatives": tx.join_safe(F.coalesce(categories(F.col("orddannelser"), DERIVED), none), ", "),
@@ -116,7 +125,30 @@ def cards(entries: DataFrame, audio: DataFrame, pos: DataFrame, definition_tr: D
     return out.orderBy(F.col("frequency_rank").asc_nulls_last(), position).drop(position, "frequency_rank")
 
 
-def media(entries: DataFrame, audio: DataFrame) -> DataFrame:
-    """The files of mapped pronunciations, each once."""
+def plain_cards(entries: DataFrame, audio: DataFrame, position: str = "ord") -> DataFrame:
+    """Notes without translations and rank, of entries in the order of a word list (with `rank` and the position column). Lists are joined as
+    they are, empty items included; an etymology always ends with the mark."""
+    e = _with_sounds(entries, audio, position)
+    none = F.array().cast("array<string>")
+    headword, pos = tx.sanitize(F.col("headword")), tx.sanitize(F.col("pos"))
+    fields = {
+        "Headword": headword,
+        "POS": pos,
+        "IPA": pronunciations(F.col("_sounds")),
+        "Definition": or_placeholder(definitions(F.col("definitions"))),
+        **_firsts(),
+        "Variants": tx.join_safe(F.col("wordforms"), keep_empty=True),
+        "Collocations": tx.join_safe(F.transform("fixed_expressions", lambda x: F.coalesce(x.expression, F.lit(""))), keep_empty=True),
+        "Derivatives": tx.join_safe(F.coalesce(categories(F.col("orddannelser"), DERIVED), none), ", ", keep_empty=True),
+        "Etymology": tx.ellipsis(F.col("etymology.raw"), always=True),
+    }
+    out = e.select("rank", position, *[F.coalesce(fields[f], F.lit("")).alias(f) for f in PLAIN_FIELDS], tx.guid(headword, pos).alias("guid"))
+    return out.orderBy(F.col("rank").asc_nulls_last(), position).drop("rank", position)
+
+
+def media(entries: DataFrame, audio: DataFrame, repeats: bool = False) -> DataFrame:
+    """The files of mapped pronunciations, each once; with repeats, once for each pronunciation that uses it."""
     urls = entries.select(F.explode("udtale.audio").alias("url")).where("url is not null")
+    if repeats:
+        return urls.join(audio.groupBy("url").agg(F.min("path").alias("path")), "url").select("path")
     return audio.join(urls.distinct(), "url", "left_semi").select("path").distinct()

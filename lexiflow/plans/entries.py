@@ -85,10 +85,8 @@ def q_rank_left_join_sort(t: Tables) -> DataFrame:
 @query(f"""WITH e AS (SELECT p_partkey, r, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey DESC) AS k FROM part LEFT JOIN (SELECT p_name, min(p_partkey + 1) AS r FROM part WHERE p_partkey % 50 = 0 GROUP BY 1) USING (p_name))
 SELECT p_partkey, r::INTEGER AS rank FROM e WHERE r IS NULL OR k = 1""")
 def q_wordlist_driven_order(t: Tables) -> DataFrame:
-    listed = words(t, "p_partkey % 50 = 0").groupBy(F.col("word").alias("p_name")).agg(F.min("rank").alias("rank"))
-    joined = t.part.select("p_name", "p_partkey").join(listed, "p_name", "left")
-    ranked = keep_last(joined.where("rank is not null"), ["p_name"], F.col("p_partkey"))
-    return ranked.unionByName(joined.where("rank is null")).select("p_partkey", "rank")
+    entries = t.part.select("p_partkey", F.concat(F.lit("dir/"), F.col("p_name"), F.lit(".html")).alias("file"))
+    return lookup.listed_entries(entries, words(t, "p_partkey % 50 = 0"), "p_partkey").select("p_partkey", "rank")
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 500")

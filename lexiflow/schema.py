@@ -39,3 +39,5 @@ FETCHED = _struct(key=S, content=T.BinaryType(), error=S)
 
 #: The fields of a card, in order.
 NOTE_FIELDS = ["Headword", "POS", "IPA", "Definition", "Grammar", "Example", "Variants", "Collocations", "Derivatives", "Etymology", "FrequencyRank"]
+#: The fields of a plain card: all but the rank.
+PLAIN_FIELDS = NOTE_FIELDS[:-1]

@@ -79,14 +79,14 @@ CREATE TABLE graves (usn integer not null, oid integer not null, type integer no
 """
 
 
-def write_deck(notes: DataFrame, path: str, name: str, description: str = "", media: list[str] = (), front: str = "{{Headword}}<br>{{IPA}}", back: str = "{{FrontSide}}<hr>{{Definition}}", css: str = "", stamp: int = 1_700_000_000) -> int:
+def write_deck(notes: DataFrame, path: str, name: str, description: str = "", media: list[str] = (), fields: list[str] = NOTE_FIELDS, sort_field: int = -1, front: str = "{{Headword}}<br>{{IPA}}", back: str = "{{FrontSide}}<hr>{{Definition}}", css: str = "", stamp: int = 1_700_000_000) -> int:
     """Packs notes, in their order, and media files into a deck; the same input gives the same bytes. Returns the number of notes.
 
     Notes come to the driver partition by partition and go straight into the package's database.
     """
     deck, model = _number(f"deck {name}"), _number(f"model {name}")
-    fields = [{"name": f, "ord": i, "font": "Arial", "media": [], "rtl": False, "size": 20, "sticky": False} for i, f in enumerate(NOTE_FIELDS)]
-    models = {str(model): {"id": str(model), "name": name, "type": 0, "mod": stamp, "usn": -1, "sortf": len(fields) - 1, "did": deck, "css": css, "latexPre": "", "latexPost": "", "req": [[0, "any", [0]]], "tags": [], "vers": [], "flds": fields, "tmpls": [{"name": "Card 1", "ord": 0, "qfmt": front, "afmt": back, "did": None, "bafmt": "", "bqfmt": ""}]}}
+    described = [{"name": f, "ord": i, "font": "Arial", "media": [], "rtl": False, "size": 20, "sticky": False} for i, f in enumerate(fields)]
+    models = {str(model): {"id": str(model), "name": name, "type": 0, "mod": stamp, "usn": -1, "sortf": sort_field % len(fields), "did": deck, "css": css, "latexPre": "", "latexPost": "", "req": [[0, "any", [0]]], "tags": [], "vers": [], "flds": described, "tmpls": [{"name": "Card 1", "ord": 0, "qfmt": front, "afmt": back, "did": None, "bafmt": "", "bqfmt": ""}]}}
     decks = {str(deck): {"id": deck, "name": name, "desc": description, "mod": stamp, "usn": -1, "collapsed": False, "conf": 1, "dyn": 0, "extendNew": 0, "extendRev": 50, "lrnToday": [0, 0], "newToday": [0, 0], "revToday": [0, 0], "timeToday": [0, 0]}}
     with tempfile.TemporaryDirectory() as work:
         file = f"{work}/collection.anki2"
@@ -94,11 +94,11 @@ def write_deck(notes: DataFrame, path: str, name: str, description: str = "", me
         db.executescript(COLLECTION)
         db.execute("INSERT INTO col VALUES (1, ?, ?, ?, 11, 0, 0, 0, ?, ?, ?, ?, ?)", (stamp, stamp * 1000, stamp * 1000, json.dumps({"nextPos": 1, "curDeck": deck}), json.dumps(models), json.dumps(decks), json.dumps({"1": {"id": 1, "name": "Default"}}), "{}"))
         n = 0
-        for row in notes.select("guid", *NOTE_FIELDS).toLocalIterator():
-            values = [row[f] or "" for f in NOTE_FIELDS]
+        for row in notes.select("guid", *fields).toLocalIterator():
+            values = [row[f] or "" for f in fields]
             nid = stamp * 1000 + n
             check = int(hashlib.sha1(values[0].encode()).hexdigest()[:8], 16)
-            db.execute("INSERT INTO notes VALUES (?, ?, ?, ?, -1, '', ?, ?, ?, 0, '')", (nid, row["guid"], model, stamp, SEPARATOR.join(values), values[-1], check))
+            db.execute("INSERT INTO notes VALUES (?, ?, ?, ?, -1, '', ?, ?, ?, 0, '')", (nid, row["guid"], model, stamp, SEPARATOR.join(values), values[sort_field], check))
             db.execute("INSERT INTO cards VALUES (?, ?, ?, 0, ?, -1, 0, 0, ?, 0, 0, 0, 0, 0, 0, 0, 0, '')", (nid, nid, deck, stamp, n))
             n += 1
         db.commit()

@@ -14,7 +14,7 @@ from lexiflow.functions import text as tx
 from lexiflow.functions import url as ux
 from lexiflow.operators import dedupe, lookup, render
 from lexiflow.operators.ranking import numbered
-from lexiflow.schema import ENTRY, NOTE_FIELDS
+from lexiflow.schema import ENTRY, NOTE_FIELDS, PLAIN_FIELDS
 from lexiflow.sources import fetch, sinks
 
 
@@ -158,6 +158,23 @@ def test_cards_and_deck(spark, tmp_path):
     assert rows[0][0] == first.guid and len(rows[0][1].split("\x1f")) == len(NOTE_FIELDS) and rows[0][2] == "00012"
 
 
+def test_plain_cards_in_the_order_of_a_word_list(spark, tmp_path):
+    plain = {"udtale": [{"ipa": "[x]", "audio": "u1"}, {"ipa": "y", "audio": "u1"}], "wordforms": ["x", "", "y"], "definitions": [], "fixed_expressions": [{"expression": "e"}, {"expression": None}], "orddannelser": {"Øvrige": ["ø"]}, "etymology": {"raw": "old"}}
+    files = ["B.html", "a.html", "c.html", "a.html", "c.html"]
+    rows = [json.dumps({"file": f, "headword": f"{f[0]}{i}", "pos": "n", **plain}) for i, f in enumerate(files)]
+    df = spark.read.schema(ENTRY).json(spark.sparkContext.parallelize(rows, 1)).withColumn("ord", F.regexp_extract("headword", "([0-9]+)", 1).cast("int"))
+    words = spark.createDataFrame([(1, "a"), (2, "b"), (3, "C"), (4, "a")], "rank int, word string")
+    audio = spark.createDataFrame([("u1", "audio/s.mp3")], "url string, path string")
+    listed = lookup.listed_entries(df, words)
+    notes = render.plain_cards(listed, audio)
+    got = notes.collect()
+    assert notes.columns == [*PLAIN_FIELDS, "guid"] and [r.Headword for r in got] == ["a3", "B0", "c2", "c4"]
+    assert (got[0].Definition, got[0].Variants, got[0].Collocations, got[0].Derivatives, got[0].Etymology) == ("(no definition)", "x; ; y", "e; ", "ø", "old…")
+    assert got[0].IPA.count("[sound:s.mp3]") == 2
+    assert [r.path for r in render.media(listed, audio, repeats=True).collect()] == ["audio/s.mp3"] * 8
+    assert sinks.write_deck(notes, str(tmp_path / "p.apkg"), "Plain", fields=PLAIN_FIELDS, sort_field=0) == 4
+
+
 def test_cards_with_repeated_translations(spark):
     entry = {"file": "a.html", "headword": "a", "pos": "n", "udtale": [], "wordforms": [], "definitions": [{"number": "1", "definition": "d"}], "fixed_expressions": [], "orddannelser": {}}
     df = spark.read.schema(ENTRY).json(spark.sparkContext.parallelize([json.dumps(entry)], 1)).withColumn("ord", F.lit(0)).withColumn("frequency_rank", F.lit(1))
