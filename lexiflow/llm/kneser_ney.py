@@ -8,6 +8,8 @@ In a pass, workers count the n-grams of what they read and send them, by the n-g
 up, writes a sorted array of hashes with the counts beside it, and hands on what the next lower order needs: the distinct left
 neighbours of each suffix, and for each context the sum and the numbers of n-grams seen once, twice and more often.
 Shards are ranges of evenly spread hashes whose number grows with the text, so a very common word or pair is no hot shard.
+A task deals what it gets to narrower ranges and adds them up one after another, with counts in the narrowest type that holds them, so
+beside the n-grams themselves it holds the sorted copies of a range alone.
 
 A shard keeps 40 bits of a hash. As a shard's size is fixed, an n-gram that was never seen is taken for another with a probability of
 about 2e-6 (two million n-grams a shard), however large the corpus is; on small tables the probability is nil.
@@ -36,13 +38,15 @@ from pyspark.sql import types as T
 
 from ..session import ship
 from .common import drop_written, mapped, release, scratch, written
-from .words import mix, slices, words
+from .words import BLOCK, mix, slices, words
 
 END, BEGIN = np.uint64(0xE5A1F3C2D4B69788), np.uint64(0xB1C6E2F4A9D37851)
 WHOLE = "whole"  # stands in a folder once all of the model is there
 ROWS = "kind string, part int, shard int, body binary, stat array<bigint>"
 CODEC = "zstd"
 MOST_OPEN = 1000
+PIECE = 2 << 20  # bytes of packed rows that are added up at a time
+ROWS_AT_ONCE = 1 << 18
 
 
 def key_of(cols: list[np.ndarray]) -> np.ndarray:
@@ -77,9 +81,35 @@ def part_of(word: np.ndarray, parts: int) -> np.ndarray:
     return ((word & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
+def narrow(v: np.ndarray) -> np.ndarray:
+    """Counts in the narrowest type that holds them."""
+    return v.astype(_least(int(v.max(initial=0)) + 1))
+
+
+def deal(out: list[list[list[np.ndarray]]], at: np.ndarray, cols: list[np.ndarray]) -> None:
+    """Appends to each of out the rows of cols that are in its range; copies, so that a range can be let go by itself."""
+    order = np.argsort(at.astype(_least(len(out))), kind="stable")
+    cuts = np.searchsorted(at[order], np.arange(len(out) + 1))
+    for held, a, b in zip(out, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if b > a:
+            held.append([c[order[a:b]] for c in cols])
+
+
+def taken(out: list[list[list[np.ndarray]]]) -> Iterator[list[np.ndarray]]:
+    """The columns of each range that has rows, in order; what is taken is let go."""
+    for i, held in enumerate(out):
+        if held:
+            out[i] = []
+            cols = [list(c) for c in zip(*held, strict=True)]
+            held.clear()
+            for k, c in enumerate(cols):
+                cols[k] = np.concatenate(c)
+            yield cols
+
+
 def _padded(*arrays: np.ndarray) -> bytes:
     """Arrays one after another, each from a multiple of eight bytes on."""
-    return b"".join(x.tobytes() + b"\0" * (-x.nbytes % 8) for x in arrays)
+    return b"".join(y for x in arrays for y in (np.ascontiguousarray(x).reshape(-1).view(np.uint8), b"\0" * (-x.nbytes % 8)))
 
 
 def _least(n: int) -> np.dtype:
@@ -87,28 +117,44 @@ def _least(n: int) -> np.dtype:
     return np.min_scalar_type(max(n - 1, 0))
 
 
+def _codes(vals: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each row's values, and whether all of them are below 256."""
+    code = np.zeros(len(vals[0]), dtype=np.int64)
+    small = np.ones(len(vals[0]), dtype=bool)
+    for i, v in enumerate(vals):
+        code |= np.minimum(v, 255).astype(np.int64) << (8 * i)
+        small &= v < 256
+    return code, small
+
+
 def packed(key: np.ndarray, vals: list[np.ndarray]) -> bytes:
     """Places in one shard, ascending, and their values: first the rows with the commonest values, as keys alone, then those whose values
     all are below 256, with a code for them, then the others, with their values."""
     width = len(vals)
-    code = np.zeros(len(key), dtype=np.int64)
-    small = np.ones(len(key), dtype=bool)
-    for i, v in enumerate(vals):
-        code |= np.minimum(v, 255) << (8 * i)
-        small &= v < 256
-    kinds, times = np.unique(code[small], return_counts=True)
+    blocks = [slice(a, a + ROWS_AT_ONCE) for a in range(0, len(key), ROWS_AT_ONCE)]
+    found = []
+    for block in blocks:
+        code, small = _codes([v[block] for v in vals])
+        found.append(np.unique(code[small], return_counts=True))
+    none = np.zeros(0, dtype=np.int64)
+    kinds, _, (times,) = added(np.concatenate([none, *(x for x, _ in found)]), [], [np.concatenate([none, *(x for _, x in found)])])
     common = kinds[np.argmax(times)] if len(kinds) else -1
     kinds = kinds[kinds != common]
-    runs = [np.flatnonzero(small & (code == common)), np.flatnonzero(small & (code != common)), np.flatnonzero(~small)]
-    runs = [r[np.argsort(key[r], kind="stable")] for r in runs]
+    size = _least(len(kinds))
+    highs, lows, fars, codes = [[], [], []], [[], [], []], [], []
+    for block in blocks:
+        own, (code, small) = key[block], _codes([v[block] for v in vals])
+        high, low = (own >> np.uint64(8)).astype(np.uint32), (own & np.uint64(255)).astype(np.uint8)
+        runs = [small & (code == common), small & (code != common), ~small]
+        for i, run in enumerate(runs):
+            highs[i].append(high[run])
+            lows[i].append(low[run])
+        codes.append(np.searchsorted(kinds, code[runs[1]]).astype(size))
+        fars.append(np.stack([v[block][runs[2]] for v in vals], axis=1).astype(np.int64))
     known = np.concatenate([[max(common, 0)], kinds])
     table = np.stack([known >> (8 * i) & 255 for i in range(width)], axis=1).astype(np.int64)
-    order = np.concatenate(runs)
-    codes = np.searchsorted(kinds, code[runs[1]]).astype(_least(len(kinds)))
-    head = np.array([width, *(len(r) for r in runs), len(kinds), codes.itemsize, 0, 0], dtype=np.int64)
-    far = np.stack([v[runs[2]] for v in vals], axis=1).astype(np.int64)
-    own = key[order]
-    return _padded(head, table, far, (own >> np.uint64(8)).astype(np.uint32), (own & np.uint64(255)).astype(np.uint8), codes)
+    head = np.array([width, *(sum(map(len, x)) for x in highs), len(kinds), size.itemsize, 0, 0], dtype=np.int64)
+    return _padded(head, table, *(np.concatenate(x) if x else none for x in (fars, sum(highs, []), sum(lows, []), codes)))
 
 
 class Packed:
@@ -228,34 +274,69 @@ def _put(folder: str, name: str, body: bytes) -> None:
     os.replace(beside, f"{folder}/{name}")
 
 
-def _summed(bodies: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Rows of packed() bodies, those of the same key as one."""
-    keys, vals = zip(*(Packed(np.frombuffer(b, dtype=np.uint8)).rows() for b in bodies), strict=True)
-    key, _, sums = added(np.concatenate(keys), [], list(np.concatenate(vals).T))
+def _pieces(bodies: list) -> list[list[list[np.ndarray]]]:
+    """Empty ranges of a shard, as many as its bodies take."""
+    return [[] for _ in range(1 + sum(map(len, bodies)) // PIECE)]
+
+
+def _piece_of(place: np.ndarray, n: int) -> np.ndarray:
+    return place * np.uint64(n) >> np.uint64(40)
+
+
+def _summed(bodies: list) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Rows of packed() bodies, those of the same key as one; empties bodies."""
+    pieces = _pieces(bodies)
+    while bodies:
+        key, vals = Packed(np.frombuffer(bodies.pop(), dtype=np.uint8)).rows()
+        deal(pieces, _piece_of(key, len(pieces)), [key, *map(narrow, vals.T)])
+    out = []
+    for key, *vals in taken(pieces):
+        key, _, sums = added(key, [], [v.astype(np.int64) for v in vals])
+        out.append([key, *map(narrow, sums)])
+    key, *sums = (np.concatenate(c) for c in zip(*out, strict=True))
     return key, sums
 
 
 def _settle(folder: str, order: int, shards: int, last: bool = False):
     """What the task of a shard does, by the kind of its rows. Single words are added up in every pass, and settled in the last job."""
 
-    def level(k: int, part: int, shard: int, bodies: list[bytes]) -> list[tuple]:
-        cols, counts = zip(*map(grams, bodies), strict=True)
-        bodies.clear()
-        cols = [np.concatenate(c) for c in zip(*cols, strict=True)]
-        key, cols, (c,) = added(key_of(cols), cols, [np.concatenate(counts)])
-        _put(folder, f"gram{k}-{part}-{shard}", packed(place_of(key, shards), [c]))
-        ctx, _, sums = added(key_of(cols[:-1]), [], [c, *((c == i).astype(np.int64) for i in (1, 2)), (c > 2).astype(np.int64)])
-        rows = _sent(f"ctx{k}", part, ctx, None, sums, shards)
-        low, low_cols, (n,) = added(key_of(cols[1:]), cols[1:], [np.ones_like(c)])
-        rows += _sent(f"gram{k - 1}", part, low, low_cols, [n], shards) if k > 2 else _sent("uni", 0, low, None, [n, np.zeros_like(n)], shards)
-        return [*rows, (f"stat{k}", part, shard, None, [int((c == i).sum()) for i in (1, 2, 3, 4)])]
-
-    def run(group: pa.Table) -> pa.Table:
-        kind, part, shard = (group.column(c)[0].as_py() for c in ("kind", "part", "shard"))
-        bodies = group.column("body").to_pylist()
-        del group
+    def level(k: int, part: int, shard: int, bodies: list) -> Iterator[list[tuple]]:
+        pieces = _pieces(bodies)
+        groups = min(shards, len(pieces))
+        to = lambda key: shard_of(key, shards) * groups // shards
+        contexts, lower = [[] for _ in range(groups)], [[] for _ in range(groups)]
+        while bodies:
+            cols, count = grams(bodies.pop())
+            deal(pieces, _piece_of(place_of(key_of(cols), shards), len(pieces)), [*cols, narrow(count)])
+        places, counts, stat = [], [], [0] * 4
+        for *cols, count in taken(pieces):
+            key, cols, (c,) = added(key_of(cols), cols, [count.astype(np.int64)])
+            places.append(place_of(key, shards))
+            counts.append(narrow(c))
+            stat = [n + int((c == i).sum()) for i, n in enumerate(stat, 1)]
+            ctx = key_of(cols[:-1])
+            deal(contexts, to(ctx), [ctx, counts[-1]])
+            deal(lower, to(key_of(cols[1:])), cols[1:])
+        places, counts = np.concatenate(places), np.concatenate(counts)
+        _put(folder, f"gram{k}-{part}-{shard}", packed(places, [counts]))
+        del places, counts
+        for ctx, c in taken(contexts):
+            ctx, _, sums = added(ctx, [], [c.astype(np.int64), *((c == i).astype(np.int64) for i in (1, 2)), (c > 2).astype(np.int64)])
+            yield _sent(f"ctx{k}", part, ctx, None, sums, shards)
+        for cols in taken(lower):
+            low, cols, (n,) = added(key_of(cols), cols, [np.ones(len(cols[0]), dtype=np.int64)])
+            yield _sent(f"gram{k - 1}", part, low, cols, [n], shards) if k > 2 else _sent("uni", 0, low, None, [n, np.zeros_like(n)], shards)
+        yield [(f"stat{k}", part, shard, None, stat)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bodies, batch = [], None
+        for batch in batches:
+            kind, part, shard = (batch.column(c)[0].as_py() for c in ("kind", "part", "shard"))
+            bodies += [b.as_buffer() for b in batch.column("body")]
+        del batch
         if kind.startswith("gram"):
-            return pa.Table.from_batches([_batch(level(int(kind[4:]), part, shard, bodies))])
+            yield from map(_batch, level(int(kind[4:]), part, shard, bodies))
+            return
         key, sums = _summed(bodies)
         body, rows = packed(key, sums), []
         if not last and kind in ("uni", "ctx2"):
@@ -265,7 +346,7 @@ def _settle(folder: str, order: int, shards: int, last: bool = False):
             if kind == "uni":
                 n, raw = sums
                 rows.append(("stat1", part, shard, None, [int(x) for x in (*((n == i).sum() for i in (1, 2, 3, 4)), n.sum(), (n > 2).sum(), raw.sum(), (raw > 0).sum())]))
-        return pa.Table.from_batches([_batch(rows)])
+        yield _batch(rows)
 
     return run
 
@@ -288,28 +369,31 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2, model_dir: st
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(8, -(-size // (shard_bytes * parts)))
 
+    groups = min(shards, 1 + flush // ROWS_AT_ONCE)
+
     def counter(part: int):
-        def sent(cols: list[np.ndarray], kind: str) -> list[tuple]:
-            key, cols, (n,) = added(key_of(cols), cols, [np.ones(len(cols[0]), dtype=np.int64)])
-            return _sent("uni", 0, key, None, [np.zeros_like(n), n], shards) if kind == "uni" else _sent(kind, part, key, cols, [n], shards)
+        def sent(held: list[list[list[np.ndarray]]], kind: str) -> Iterator[pa.RecordBatch]:
+            for cols in taken(held):
+                key, cols, (n,) = added(key_of(cols), cols, [np.ones(len(cols[0]), dtype=np.int64)])
+                yield _batch(_sent("uni", 0, key, None, [np.zeros_like(n), n], shards) if kind == "uni" else _sent(kind, part, key, cols, [n], shards))
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: dict[str, list[list[np.ndarray]]] = {f"gram{order}": [], **({"uni": []} if part == 0 else {})}
+            held: dict[str, list[list[list[np.ndarray]]]] = {kind: [[] for _ in range(groups)] for kind in (f"gram{order}", *(["uni"] if part == 0 else []))}
             n = dict.fromkeys(held, 0)
             for batch in batches:
-                for piece in slices(batch, "text"):
+                for piece in slices(batch, "text", BLOCK):
                     t, counts = tokens(piece.column("text"))
                     cols = columns(t, counts, order)
                     own = np.flatnonzero(part_of(cols[-2], parts) == part)
                     for kind in held:
-                        held[kind].append([t] if kind == "uni" else [c[own] for c in cols])
-                        n[kind] += len(held[kind][-1][0])
+                        new = [t] if kind == "uni" else [c[own] for c in cols]
+                        deal(held[kind], shard_of(key_of(new), shards) * groups // shards, new)
+                        n[kind] += len(new[0])
                         if n[kind] >= flush:
-                            yield _batch(sent([np.concatenate(x) for x in zip(*held[kind], strict=True)], kind))
-                            held[kind], n[kind] = [], 0
-            for kind, rows in held.items():
-                if n[kind]:
-                    yield _batch(sent([np.concatenate(x) for x in zip(*rows, strict=True)], kind))
+                            yield from sent(held[kind], kind)
+                            n[kind] = 0
+            for kind in held:
+                yield from sent(held[kind], kind)
 
         return count
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -68,3 +69,52 @@ def test_packed_rows_are_found_again():
     back, rows = got.rows()
     order = np.argsort(back)
     assert back[order].tolist() == key.tolist() and (rows[order] == np.stack(vals, axis=1)).all()
+
+
+def some_grams(n: int, bodies: int, words: int, shards: int) -> list[bytes]:
+    """About n n-grams of the first shard."""
+    rng = np.random.default_rng(7)
+    word = rng.integers(0, 1 << 64, words, dtype=np.uint64)
+    out = []
+    for _ in range(bodies):
+        cols = [word[rng.integers(0, words, n // bodies * shards)] for _ in range(3)]
+        own = kneser_ney.shard_of(kneser_ney.key_of(cols), shards) == 0
+        out.append(kneser_ney.packed_grams([c[own] for c in cols], rng.choice([1, 2, 300], own.sum())))
+    return out
+
+
+def settled(folder, kind: str, bodies: list[bytes], shards: int) -> list[tuple]:
+    """Rows that the task of a shard hands on."""
+    batch = kneser_ney._batch([(kind, 0, 0, b, None) for b in bodies])
+    return [tuple(r.values()) for out in kneser_ney._settle(str(folder), 3, shards)(iter([batch])) for r in out.to_pylist()]
+
+
+def test_a_shard_is_settled_in_a_few_times_its_words(tmp_path):
+    n = 1_200_000
+    bodies = some_grams(n, 12, 50_000, 8)
+    tracemalloc.start()
+    try:
+        settled(tmp_path, "gram3", bodies, 8)
+        assert tracemalloc.get_traced_memory()[1] < 4 * 24 * n
+    finally:
+        tracemalloc.stop()
+
+
+def test_ranges_of_a_shard_change_nothing(tmp_path, monkeypatch):
+    def everything(name: str, piece: int, rows: int) -> list:
+        folder = tmp_path / name
+        folder.mkdir()
+        monkeypatch.setattr(kneser_ney, "PIECE", piece)
+        monkeypatch.setattr(kneser_ney, "ROWS_AT_ONCE", rows)
+        out = settled(folder, "gram3", bodies, 1)
+        for kind, left in (("ctx3", True), ("gram2", False)):
+            own = [r[3] for r in out if r[0] == kind]
+            out += settled(folder, kind, own * 2, 1) if left else settled(folder, kind, own, 1)
+        stats = sorted(r for r in out if r[4])
+        grams = [kneser_ney.grams(r[3]) for r in out if r[0] == "gram2"]
+        return [stats, sorted(zip(*(np.concatenate(c).tolist() for c in zip(*(cols for cols, _ in grams), strict=True)), strict=True)), {f.name: f.read_bytes() for f in folder.iterdir()}]
+
+    bodies = some_grams(60_000, 6, 60, 1)
+    whole, cut = everything("whole", 1 << 40, 1 << 40), everything("cut", 20_000, 1_000)
+    assert {"gram3-0-0", "ctx3-0-0", "gram2-0-0"} <= set(whole[2])
+    assert cut == whole
