@@ -81,6 +81,12 @@ def part_of(word: np.ndarray, parts: int) -> np.ndarray:
     return ((word & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
+def once(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of x, each once, and where among them each stands."""
+    out = pa.array(x).dictionary_encode()
+    return out.dictionary.to_numpy(), out.indices.to_numpy()
+
+
 def narrow(v: np.ndarray) -> np.ndarray:
     """Counts in the narrowest type that holds them."""
     return v.astype(_least(int(v.max(initial=0)) + 1))
@@ -184,28 +190,30 @@ class Packed:
         """Values of keys, zeros for those that aren't there."""
         out = np.zeros((len(key), self.width), dtype=np.int64)
         high, low = (key >> np.uint64(8)).astype(np.uint32), (key & np.uint64(255)).astype(np.uint8)
-        a = 0
-        for run, n in enumerate((self.common, self.small, self.big)):
-            own = self.high[a : a + n]
-            at, rest = np.searchsorted(own, high), np.arange(len(key))
-            while len(rest):  # a round for each row with the same upper bits
-                rest = rest[at[rest] < n]
-                rest = rest[own[at[rest]] == high[rest]]
-                hit = rest[self.low[a + at[rest]] == low[rest]]
-                if run == 0:
-                    out[hit] = self.table[0]
-                elif run == 1:
-                    out[hit] = self.table[self.codes[at[hit]].astype(np.int64) + 1]
-                else:
-                    out[hit] = self.far[at[hit]]
-                at[rest] += 1
-            a += n
+        a, left, found = len(self.high), np.arange(len(key)), np.zeros(len(key), dtype=bool)
+        for run, n in ((2, self.big), (1, self.small), (0, self.common)):
+            a -= n
+            if not n:
+                continue
+            upper, lower = self.high[a : a + n], self.low[a : a + n]
+            own = high[left]
+            at, rest = np.searchsorted(upper, own), left
+            there = np.flatnonzero(upper.take(at, mode="clip") == own)
+            while len(there):  # a round for each row with the same upper bits
+                at, rest = at[there], rest[there]
+                same = lower[at] == low[rest]
+                row, hit = at[same], rest[same]
+                out[hit] = self.table[0] if run == 0 else self.table[self.codes[row].astype(np.int64) + 1] if run == 1 else self.far[row]
+                found[hit] = True
+                at, rest = at[~same] + 1, rest[~same]
+                there = np.flatnonzero((at < n) & (upper.take(at, mode="clip") == high[rest]))
+            left = left[~found[left]]
         return out
 
 
 def packed_grams(cols: list[np.ndarray], count: np.ndarray) -> bytes:
     """N-grams and their counts: the words once each, the n-grams as places among them, by the first word."""
-    words_, at = np.unique(np.concatenate(cols), return_inverse=True)
+    words_, at = once(np.concatenate(cols))
     at = at.reshape(len(cols), -1).astype(_least(len(words_)))
     order = np.lexsort(at[:2][::-1])
     at, count = at[:, order], count[order]
@@ -461,22 +469,14 @@ class Scorer:
                     out[own] = shard.find(place_of(key[own], self.model["shards"]))
         return out
 
-    def gram(self, kind: str, cols: list[np.ndarray], part: np.ndarray, width: int) -> np.ndarray:
-        """Values of n-grams."""
-        key = key_of(cols)
-        order = np.argsort(key)
-        key = key[order]
-        fresh = np.concatenate([[True], key[1:] != key[:-1]])
-        back = np.empty(len(key), dtype=np.int64)
-        back[order] = np.cumsum(fresh) - 1
-        return self.find(kind, key[fresh], part[order[fresh]], width)[back]
-
     def block(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens, known tokens, base score and score of each text."""
         m = self.model
         t, counts = tokens(column)
         cols = columns(t, counts, m["order"])
-        word, back = np.unique(t, return_inverse=True)
+        word, back = once(t)
+        order = np.argsort(word)
+        word, back = word[order], np.argsort(order)[back]
         uni = self.find("uni", word, np.zeros(len(word), dtype=np.int64), 2)
         n, v = m["tokens"], m["distinct"]
         base = np.log10((uni[:, 1] + 0.1) / (n + 0.1 * (v + 1)))[back]
@@ -486,18 +486,31 @@ class Scorer:
             gamma = float(np.dot(d[1:], m["unigram"])) / m["pairs"]
             p = (uni[:, 0] - d[np.minimum(uni[:, 0], 3)]) / m["pairs"] + gamma * p
         prob = p[back]
+        known = (uni[:, 1] > 0)[back]
+        starts = np.cumsum(counts) - counts
+        gram, last = word, part_of(word, m["parts"])  # the n-grams of the order below, once each, and the parts of their last words
         for k in range(2, m["order"] + 1):
-            own = cols[len(cols) - k :]
-            part = part_of(own[-2], m["parts"])
-            c = self.gram(f"gram{k}", own, part, 1)[:, 0]
-            stats = self.gram(f"ctx{k}", own[:-1], part, 4)
             d = np.array(m["discounts"][k])
+            stats = np.concatenate([self.find(f"ctx{k}", gram, last, 4), self.find(f"ctx{k}", key_of([np.array([BEGIN])] * (k - 1)), part_of(np.array([BEGIN]), m["parts"]), 4)])
             total = np.maximum(stats[:, 0], 1)
-            higher = (c - d[np.minimum(c, 3)]) / total + (stats[:, 1:] @ d[1:]) / total * prob
-            prob = np.where(stats[:, 0] > 0, higher, prob)
+            rest = (stats[:, 1:] @ d[1:]) / total
+            ctx = np.concatenate([back[:1], back[:-1]])  # the context of a token is the n-gram that ends before it
+            ctx[starts] = len(gram)
+            own = cols[len(cols) - k :]
+            key = key_of(own)
+            order = np.argsort(key)
+            key = key[order]
+            fresh = np.concatenate([[True], key[1:] != key[:-1]])
+            back = np.empty(len(key), dtype=np.int64)
+            back[order] = np.cumsum(fresh) - 1
+            gram, first = key[fresh], order[fresh]
+            last = part_of(t[first], m["parts"])
+            c = self.find(f"gram{k}", gram, part_of(own[-2][first], m["parts"]), 1)[:, 0]
+            c = (c - d[np.minimum(c, 3)])[back]
+            prob = np.where((stats[:, 0] > 0)[ctx], c / total[ctx] + rest[ctx] * prob, prob)
         doc = np.repeat(np.arange(len(counts)), counts)
         add = lambda x: np.bincount(doc, weights=x, minlength=len(counts))
-        return counts, add(uni[back, 1] > 0).astype(np.int64), add(base), add(np.log10(prob))
+        return counts, add(known).astype(np.int64), add(base), add(np.log10(prob))
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
