@@ -473,44 +473,46 @@ class Scorer:
         """Tokens, known tokens, base score and score of each text."""
         m = self.model
         t, counts = tokens(column)
-        cols = columns(t, counts, m["order"])
+        doc = np.repeat(np.arange(len(counts)), counts)
+        add = lambda x: np.bincount(doc, weights=x, minlength=len(counts))
         word, back = once(t)
         order = np.argsort(word)
         word, back = word[order], np.argsort(order)[back]
         uni = self.find("uni", word, np.zeros(len(word), dtype=np.int64), 2)
         n, v = m["tokens"], m["distinct"]
-        base = np.log10((uni[:, 1] + 0.1) / (n + 0.1 * (v + 1)))[back]
+        base = add(np.log10((uni[:, 1] + 0.1) / (n + 0.1 * (v + 1)))[back])
+        known = add((uni[:, 1] > 0)[back]).astype(np.int64)
         d = np.array(m["discounts"][1])
         p = np.full(len(word), 1.0 / (v + 1))
         if m["pairs"]:
             gamma = float(np.dot(d[1:], m["unigram"])) / m["pairs"]
             p = (uni[:, 0] - d[np.minimum(uni[:, 0], 3)]) / m["pairs"] + gamma * p
         prob = p[back]
-        known = (uni[:, 1] > 0)[back]
         starts = np.cumsum(counts) - counts
         gram, last = word, part_of(word, m["parts"])  # the n-grams of the order below, once each, and the parts of their last words
         for k in range(2, m["order"] + 1):
             d = np.array(m["discounts"][k])
             stats = np.concatenate([self.find(f"ctx{k}", gram, last, 4), self.find(f"ctx{k}", key_of([np.array([BEGIN])] * (k - 1)), part_of(np.array([BEGIN]), m["parts"]), 4)])
             total = np.maximum(stats[:, 0], 1)
-            rest = (stats[:, 1:] @ d[1:]) / total
+            rest, seen = (stats[:, 1:] @ d[1:]) / total, stats[:, 0] > 0
             ctx = np.concatenate([back[:1], back[:-1]])  # the context of a token is the n-gram that ends before it
             ctx[starts] = len(gram)
-            own = cols[len(cols) - k :]
-            key = key_of(own)
+            del stats, back, gram, last
+            own = columns(t, counts, k)
+            key, before = key_of(own), own[-2]
+            del own
             order = np.argsort(key)
             key = key[order]
             fresh = np.concatenate([[True], key[1:] != key[:-1]])
             back = np.empty(len(key), dtype=np.int64)
             back[order] = np.cumsum(fresh) - 1
             gram, first = key[fresh], order[fresh]
-            last = part_of(t[first], m["parts"])
-            c = self.find(f"gram{k}", gram, part_of(own[-2][first], m["parts"]), 1)[:, 0]
+            last, part = part_of(t[first], m["parts"]), part_of(before[first], m["parts"])
+            del before, key, order, fresh, first
+            c = self.find(f"gram{k}", gram, part, 1)[:, 0]
             c = (c - d[np.minimum(c, 3)])[back]
-            prob = np.where((stats[:, 0] > 0)[ctx], c / total[ctx] + rest[ctx] * prob, prob)
-        doc = np.repeat(np.arange(len(counts)), counts)
-        add = lambda x: np.bincount(doc, weights=x, minlength=len(counts))
-        return counts, add(known).astype(np.int64), add(base), add(np.log10(prob))
+            prob = np.where(seen[ctx], c / total[ctx] + rest[ctx] * prob, prob)
+        return counts, known, base, add(np.log10(prob))
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
